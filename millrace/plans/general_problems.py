@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import late_events, messages, nested
 from ..operators.hierarchy import hierarchy
+from ..operators.snapshots import node_changes
 from ..sources.tables import table
 
 #: Buckets of a message store: about 1 GB of keys each at 100 TB of messages needs more, at some GB fewer do.
@@ -82,3 +83,7 @@ p4_entities = _flat("extractions", ["entities"], _DOCUMENT)
 p4_fact_refs = _flat("extractions", ["extracted_facts", "entity_refs"], _DOCUMENT, ancestors={0: {"fact_id": "fact_id"}}, value="entity_id")
 p4_nodes = _flat("lineage_snapshots", ["nodes"], {"snapshot_id": "snapshot_id", "received_at": "received_at"})
 p4_edges = _flat("lineage_snapshots", ["edges"], {"snapshot_id": "snapshot_id", "received_at": "received_at"})
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return node_changes(spark, table(spark, folder, "lineage_snapshots"))

@@ -96,4 +96,18 @@ FROM (SELECT snapshot_id, received_at, unnest(nodes) AS f, generate_subscripts(n
     "p4_edges": """
 SELECT snapshot_id, received_at, CAST(i - 1 AS INTEGER) AS pos_edges, f.source AS source, f.target AS target, f.relationship AS relationship, f.confidence AS confidence
 FROM (SELECT snapshot_id, received_at, unnest(edges) AS f, generate_subscripts(edges, 1) AS i FROM lineage_snapshots) x""",
+    "p6_found": f"""
+WITH first AS (
+  SELECT snapshot_id, min(codebase_root) AS root, min(coalesce({instant_sql("captured_at")}, epoch_us(received_at))) AS seen FROM lineage_snapshots GROUP BY 1),
+pairs AS (SELECT snapshot_id, lag(snapshot_id) OVER (PARTITION BY root ORDER BY seen, snapshot_id) AS before FROM first),
+items AS (
+  SELECT DISTINCT snapshot_id, n.node_id AS node_id,
+         to_json([n.type, n.label]) || coalesce(to_json(list_sort(map_entries(n.metadata))), '[]') AS content
+  FROM (SELECT snapshot_id, unnest(nodes) AS n FROM lineage_snapshots) x),
+new AS (SELECT p.snapshot_id, i.node_id, i.content FROM pairs p JOIN items i ON i.snapshot_id = p.snapshot_id WHERE p.before IS NOT NULL),
+old AS (SELECT p.snapshot_id, i.node_id, i.content FROM pairs p JOIN items i ON i.snapshot_id = p.before)
+SELECT coalesce(n.snapshot_id, o.snapshot_id) AS snapshot_id, coalesce(n.node_id, o.node_id) AS node_id,
+       CASE WHEN o.node_id IS NULL THEN 'added' WHEN n.node_id IS NULL THEN 'removed' ELSE 'changed' END AS change_kind
+FROM new n FULL JOIN old o ON n.snapshot_id = o.snapshot_id AND n.node_id = o.node_id
+WHERE o.node_id IS NULL OR n.node_id IS NULL OR n.content <> o.content""",
 }
