@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import late_events, messages, nested
+from ..operators import late_events, messages, nested, profile_drift, schema_drift
 from ..operators.hierarchy import hierarchy
 from ..operators.snapshots import node_changes
+from ..sources.shared import Workspace
 from ..sources.tables import table
 
 #: Buckets of a message store: about 1 GB of keys each at 100 TB of messages needs more, at some GB fewer do.
@@ -87,3 +88,52 @@ p4_edges = _flat("lineage_snapshots", ["edges"], {"snapshot_id": "snapshot_id",
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return node_changes(spark, table(spark, folder, "lineage_snapshots"))
+
+
+def p7_changes(spark: SparkSession, folder: str) -> DataFrame:
+    return schema_drift.schema_changes(spark, table(spark, folder, "raw_records"))
+
+
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    return schema_drift.reported(p7_changes(spark, folder)).select("file_name", "field", "change_kind")
+
+
+def p7_table(spark: SparkSession, folder: str) -> DataFrame:
+    lines = table(spark, folder, "raw_records")
+    changes = Workspace(spark, "changes").write(schema_drift.schema_changes(spark, lines), "changes")
+    return schema_drift.consistent_table(spark, lines, changes)
+
+
+#: Times as text, which move on by themselves.
+_MOVING = ("extracted_at", "evaluated_at")
+
+
+def _counted(spark: SparkSession, folder: str, name: str) -> tuple[DataFrame, profile_drift.ValueCounts]:
+    df, store = table(spark, folder, name), profile_drift.ValueCounts(spark)
+    store.apply(df)
+    return df, store
+
+
+def _both(query) -> DataFrame:
+    parts = [query(name).withColumn("table_name", F.lit(name)) for name in ("extractions", "verdicts")]
+    return parts[0].unionByName(parts[1])
+
+
+def p5_profile(spark: SparkSession, folder: str) -> DataFrame:
+    def one(name: str) -> DataFrame:
+        _, store = _counted(spark, folder, name)
+        return profile_drift.metrics(store.read(), store.names)
+
+    return _both(one)
+
+
+def p5_changes(spark: SparkSession, folder: str) -> DataFrame:
+    def one(name: str) -> DataFrame:
+        df, store = _counted(spark, folder, name)
+        return profile_drift.changed_columns(spark, store, profile_drift.loads_in_order(df), _MOVING)
+
+    return _both(one)
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p5_changes(spark, folder).select("table_name", F.regexp_replace("column_name", r"\[\]", "").alias("column_name"), "load_id").distinct()
