@@ -32,12 +32,12 @@ def van_der_corput(i: Column) -> Column:
     return F.conv(F.reverse(F.lpad(F.bin(i), _BITS, "0")), 2, 10).cast("double") / float(1 << _BITS)
 
 
-def _wants(spark: SparkSession, documents: DataFrame, targets: DataFrame) -> list[dict]:
-    """For each target: tokens wanted, tokens and texts there, in the order of ``mix, source``."""
+def _wants(documents: DataFrame, targets: DataFrame) -> tuple[int, list[dict]]:
+    """All tokens; for each target the tokens wanted, tokens and texts there, in the order of ``mix, source``."""
     sizes = documents.groupBy("key").agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("texts"))
     total = documents.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
     rows = targets.withColumn("key", source_key(F.col("source"))).join(sizes, "key", "left").orderBy("mix", "source").collect()
-    return [
+    return total, [
         r.asDict() | {"tokens": r.tokens or 0, "texts": r.texts or 0, "wanted": r.target_share * r.size_ratio * total, "supply": r.max_repeats * (r.tokens or 0)}
         for r in rows
     ]
@@ -107,11 +107,12 @@ def mix_sources(spark: SparkSession, documents: DataFrame, targets: DataFrame, b
 
     First result: ``mix, slot, place, source, doc_id, repeat, tokens``: read by ``slot`` and ``place`` it is the mix.
     Second: per mix and source the target share, ``wanted_tokens``, ``supply_tokens`` (``max_repeats`` times
-    the source), ``actual_tokens``, ``actual_share`` (of the mix as it is), and ``missed``: more is wanted than there is.
+    the source), ``actual_tokens``, ``actual_share`` (of the mix as it is), and ``missed``: the mix used up the source, and exactly compared more is wanted
+    than there is. A schedule names a source by at most ``log2(slots) + 2`` slots too few, so none that misses is overlooked.
     """
     documents = documents.select("doc_id", source_key(F.col("source")).alias("key"), F.coalesce("tokens", F.lit(0)).alias("tokens"))
     documents = Workspace(spark, "mix").write(documents, "sizes")
-    wants = _wants(spark, documents, targets)
+    total, wants = _wants(documents, targets)
     blocks = _blocks(spark, documents, wants, block_tokens, seed)
     slots = _schedule(spark, wants, block_tokens)
     columns = ["mix", "size_ratio", "source", "key", "target_share", "max_repeats", "wanted", "supply"]
@@ -121,9 +122,10 @@ def mix_sources(spark: SparkSession, documents: DataFrame, targets: DataFrame, b
     mixes = chosen.select("mix", "slot", F.col("start").alias("place"), "source", "doc_id", "repeat", "tokens")
     reached = mixes.groupBy("mix", "source").agg(F.sum("tokens").alias("actual_tokens"), F.max(F.col("repeat") + 1).alias("most_repeats"))
     report = named.join(reached, ["mix", "source"], "left").withColumn("actual_tokens", F.coalesce("actual_tokens", F.lit(0)))
+    slack = block_tokens * (3 + F.log2(2 + F.col("size_ratio") * F.lit(total) / block_tokens))
     report = report.select(
         "mix", "source", "target_share", F.col("wanted").alias("wanted_tokens"), F.col("supply").alias("supply_tokens"), "actual_tokens",
         (F.col("actual_tokens") / F.sum("actual_tokens").over(W.partitionBy("mix"))).alias("actual_share"),
-        F.coalesce("most_repeats", F.lit(0)).alias("most_repeats"), (F.col("wanted") > F.col("supply")).alias("missed"),
+        F.coalesce("most_repeats", F.lit(0)).alias("most_repeats"), ((F.col("actual_tokens") >= F.col("supply") - slack) & (F.col("wanted") > F.col("supply"))).alias("missed"),
     )
     return mixes, report
