@@ -125,7 +125,7 @@ def mix_sources(spark: SparkSession, documents: DataFrame, targets: DataFrame, b
     slack = block_tokens * (3 + F.log2(2 + F.col("size_ratio") * F.lit(total) / block_tokens))
     report = report.select(
         "mix", "source", "target_share", F.col("wanted").alias("wanted_tokens"), F.col("supply").alias("supply_tokens"), "actual_tokens",
-        (F.col("actual_tokens") / F.sum("actual_tokens").over(W.partitionBy("mix"))).alias("actual_share"),
+        F.try_divide("actual_tokens", F.sum("actual_tokens").over(W.partitionBy("mix"))).alias("actual_share"),
         F.coalesce("most_repeats", F.lit(0)).alias("most_repeats"), ((F.col("actual_tokens") >= F.col("supply") - slack) & (F.col("wanted") > F.col("supply"))).alias("missed"),
     )
     return mixes, report

@@ -33,7 +33,11 @@ OTHER = "other"
 
 @dataclass(frozen=True)
 class Training:
-    """Bounds and settings of a fit. At most about ``labelled`` and ``unlabelled`` documents are learned from."""
+    """Bounds and settings of a fit. At most about ``labelled`` and ``unlabelled`` documents are learned from.
+
+    A document counts as much as it has sentences, but no more than ``weighed`` of them, so that a very long one
+    does not outweigh all others; all its sentences are learned from.
+    """
 
     labelled: int = 20_000
     unlabelled: int = 12_000
@@ -41,6 +45,7 @@ class Training:
     rate: float = 0.05
     shards: int = 4
     partitions: int = 12
+    weighed: int = 32
 
 
 _cache: dict[str, object] = {}
@@ -61,8 +66,9 @@ def _sample(df: DataFrame, most: int) -> DataFrame:
     return df.where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 30)) < F.lit(int((1 << 30) * most / there)))
 
 
-def _learnable(docs: DataFrame, areas: int, shards: int) -> DataFrame:
-    """``shard, rows, named``: the sentences of ``doc_id, text, named`` as table rows."""
+def _learnable(docs: DataFrame, how: Training) -> DataFrame:
+    """``shard, rows, named, weight``: the sentences of ``doc_id, text, named`` as table rows."""
+    shards, weighed = how.shards, how.weighed
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         features: sm.Features = _once("features", sm.Features)  # type: ignore[assignment]
@@ -71,10 +77,12 @@ def _learnable(docs: DataFrame, areas: int, shards: int) -> DataFrame:
             for text, named in zip(b["text"], b["named"], strict=True):
                 if len(features.rows) > features.most:
                     features.clear()
-                out += [(i % shards, features.sentence_rows(w), np.asarray(named, np.float32)) for i, w in enumerate(sm.sentences(text))]
-            yield pd.DataFrame(out, columns=["shard", "rows", "named"])
+                parts = sm.sentences(text)
+                weight = min(1.0, weighed / max(1, len(parts)))
+                out += [(i % shards, features.sentence_rows(w), np.asarray(named, np.float32), weight) for i, w in enumerate(parts)]
+            yield pd.DataFrame(out, columns=["shard", "rows", "named", "weight"])
 
-    return docs.mapInPandas(cut, "shard int, rows array<int>, named array<float>")
+    return docs.mapInPandas(cut, "shard int, rows array<int>, named array<float>, weight float")
 
 
 def _fit(spark: SparkSession, tables: list[DataFrame], areas: int, how: Training) -> sm.Model:
@@ -95,7 +103,7 @@ def _fit(spark: SparkSession, tables: list[DataFrame], areas: int, how: Training
                         continue
                     batch, named = sm.batch_of(list(b["rows"])), np.stack(list(b["named"]))
                     target, w = (named, np.ones_like(named)) if old is None else sm.retarget(sm.probabilities(old, sm.hidden(old, batch)), named, stage == 1)
-                    grads, n = sm.gradient(now, batch, target, w)
+                    grads, n = sm.gradient(now, batch, target, w * b["weight"].to_numpy(np.float32)[:, None])
                     total = grads if total is None else [x + y for x, y in zip(total, grads, strict=True)]
                     weight += n
                 if total is not None:
@@ -147,8 +155,8 @@ def fit_subjects(spark: SparkSession, documents: DataFrame, labels: DataFrame, a
 
     def tables(work: Workspace, docs: DataFrame) -> list[DataFrame]:
         path = f"{work.path}/sentences"
-        _learnable(docs.repartition(how.partitions, "doc_id"), len(areas), how.shards).write.partitionBy("shard").mode("overwrite").parquet(path)
-        schema = "rows array<int>, named array<float>, shard int"
+        _learnable(docs.repartition(how.partitions, "doc_id"), how).write.partitionBy("shard").mode("overwrite").parquet(path)
+        schema = "rows array<int>, named array<float>, weight float, shard int"
         one = spark.read.schema(schema).parquet(path)
         return [one.where(F.col("shard") == s).coalesce(how.partitions) for s in range(how.shards)]
 

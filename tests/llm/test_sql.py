@@ -1,0 +1,16 @@
+"""The text queries that have SQL against it, the others for running, over the whole small tables."""
+
+import pytest
+from millrace.llm import registry
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
+def test_query_equals_sql(spark, oracle, name):
+    oracle(spark, name, registry.queries()[name], registry.oracle_sql()[name], FOLDER)
+
+
+@pytest.mark.parametrize("name", sorted(set(registry.queries()) - set(registry.oracle_sql())))
+def test_query_without_sql_runs(spark, name):
+    assert registry.queries()[name](spark, FOLDER).count() > 0
