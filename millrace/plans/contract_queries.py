@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import predicates as p
-from ..operators import checks, contract_diff, datasets, json_schema, lineage, matching, numeric_drift, quality, reporting, sequences, vectors
+from ..operators import checks, contract_diff, contracts, datasets, json_schema, lineage, matching, numeric_drift, quality, reporting, sequences, vectors
 from ..operators.checks import Clause
 from ..sources import json_lines
 from ..sources.tables import table
@@ -425,3 +425,44 @@ def tumbling_event_counts(spark: SparkSession, folder: str) -> DataFrame:
 def snapshot_pairs(spark: SparkSession, folder: str) -> DataFrame:
     """The last two deliveries of each codebase."""
     return sequences.last_two(table(spark, folder, "lineage_snapshots").select("codebase_root", "snapshot_id", "received_at"), ["codebase_root"], "received_at").select("codebase_root", "snapshot_id", F.col("age").cast("bigint").alias("age"))
+
+
+# --- declared contracts ------------------------------------------------------------------------------------------------------
+
+_DECLARED = {
+    "doc_id": {"type": "string", "required": True, "unique": True, "minLength": 36, "maxLength": 36},
+    "source_hash": {"type": "string", "required": True, "pattern": "^[a-f0-9]{64}$"},
+    "processing_time_ms": {"type": "integer", "required": True, "minimum": 1, "maximum": 20000},
+    "extraction_model": {"type": "string", "enum": ["refiner-layout-1", "refiner-layout-2", "refiner-vision-1"]},
+    "token_count": {"type": "object", "properties": {"input": {"type": "integer", "required": True, "minimum": 1}}},
+    "extracted_facts": {"type": "array", "minItems": 1, "items": {"properties": {"confidence": {"type": "number", "required": True, "minimum": 0, "maximum": 1}, "text": {"type": "string", "minLength": 1}, "entity_refs": {"type": "array", "items": {"type": "string", "required": True}}}}},
+}
+
+
+def declared_contract(spark: SparkSession, folder: str) -> DataFrame:
+    return contracts.validate(table(spark, folder, "extractions"), contracts.Contract("extractions", _DECLARED)).select(*_SHOWN)
+
+
+def relational_tests(spark: SparkSession, folder: str) -> DataFrame:
+    """The usual tests of the flat table of entities."""
+    entities = table(spark, folder, "extractions").select("doc_id", F.inline("entities"))
+    return contracts.relational_tests(entities, ["doc_id", "entity_id", "name", "type"], ["entity_id"], {"type": datasets.ENTITY_TYPES})
+
+
+def json_schema_verdicts(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdicts against a JSON Schema with free keys, on their JSON."""
+    schema = {
+        "type": "object", "required": ["verdict_id", "overall_verdict", "scores", "overall_score"],
+        "properties": {
+            "verdict_id": {"type": "string", "minLength": 36}, "overall_verdict": {"enum": ["PASS", "FAIL", "WARN"]}, "overall_score": {"type": "number", "minimum": 1, "maximum": 5}, "confidence": {"type": "number", "minimum": 0, "maximum": 1},
+            "scores": {"type": "object", "minProperties": 3, "additionalProperties": {"type": "object", "required": ["score"], "properties": {"score": {"type": "integer", "minimum": 1, "maximum": 5}, "evidence": {"type": "array", "items": {"type": "string"}}}}},
+        },
+    }
+    raw = F.to_json(F.struct("verdict_id", "overall_verdict", "overall_score", "confidence", "scores"))
+    return table(spark, folder, "verdicts").groupBy("load_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(~json_schema.text_valid(raw, schema)).alias("invalid"))
+
+
+def drawn_contract(spark: SparkSession, folder: str) -> DataFrame:
+    """A contract drawn from the line items holds for them."""
+    lines = table(spark, folder, "lineitem")
+    return contracts.validate(lines, contracts.draw_contract(lines, "lineitem")).groupBy("check_type", "status").agg(F.count(F.lit(1)).alias("n"))

@@ -263,4 +263,29 @@ SELECT doc_id, load_id, f.fact_id AS fact_id, round(greatest(0.0, least(1.0, CAS
 FROM (SELECT doc_id, load_id, [e.entity_id FOR e IN entities] AS ids, unnest(extracted_facts) AS f FROM extractions) x""",
     "tumbling_event_counts": "SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, event_type, count(*) AS n, round(sum(value), 6) AS total FROM events GROUP BY 1, 2",
     "snapshot_pairs": "SELECT codebase_root, snapshot_id, age FROM (SELECT codebase_root, snapshot_id, row_number() OVER (PARTITION BY codebase_root ORDER BY received_at DESC) AS age FROM lineage_snapshots) x WHERE age <= 2",
+    "declared_contract": _results("extractions", [
+        ("extractions.doc_id.required", "required", "doc_id IS NULL", "CRITICAL", "ERROR"), ("extractions.doc_id.minLength", "size", "coalesce(length(doc_id) < 36, false)", "CRITICAL", "FAIL"), ("extractions.doc_id.maxLength", "size", "coalesce(length(doc_id) > 36, false)", "CRITICAL", "FAIL"),
+        ("extractions.source_hash.required", "required", "source_hash IS NULL", "CRITICAL", "ERROR"), ("extractions.source_hash.pattern", "pattern", "coalesce(NOT regexp_matches(source_hash, '^[a-f0-9]{64}$'), false)", "CRITICAL", "FAIL"),
+        ("extractions.processing_time_ms.required", "required", "processing_time_ms IS NULL", "CRITICAL", "ERROR"), ("extractions.processing_time_ms.minimum", "range", "coalesce(processing_time_ms < 1, false)", "CRITICAL", "FAIL"),
+        ("extractions.processing_time_ms.maximum", "range", "coalesce(processing_time_ms > 20000, false)", "CRITICAL", "FAIL"),
+        ("extractions.extraction_model.enum", "enum", "coalesce(extraction_model NOT IN ('refiner-layout-1','refiner-layout-2','refiner-vision-1'), false)", "CRITICAL", "FAIL"),
+        ("extractions.token_count.input.required", "required", "token_count IS NOT NULL AND token_count.input IS NULL", "CRITICAL", "ERROR"), ("extractions.token_count.input.minimum", "range", "coalesce(token_count.input < 1, false)", "CRITICAL", "FAIL"),
+        ("extractions.extracted_facts.minItems", "size", "coalesce(len(extracted_facts) < 1, false)", "CRITICAL", "FAIL"),
+        ("extractions.extracted_facts[].confidence.required", "required", _count("extracted_facts", "f", "f.confidence IS NULL"), "CRITICAL", "ERROR"),
+        ("extractions.extracted_facts[].confidence.minimum", "range", _count("extracted_facts", "f", "coalesce(f.confidence < 0, false)"), "CRITICAL", "FAIL"),
+        ("extractions.extracted_facts[].confidence.maximum", "range", _count("extracted_facts", "f", "coalesce(f.confidence > 1, false)"), "CRITICAL", "FAIL"),
+        ("extractions.extracted_facts[].text.minLength", "size", _count("extracted_facts", "f", "coalesce(length(f.text) < 1, false)"), "CRITICAL", "FAIL"),
+        ("extractions.extracted_facts[].entity_refs[].required", "required", "coalesce(len([1 FOR r IN flatten([coalesce(f.entity_refs, []) FOR f IN extracted_facts]) IF r IS NULL]), 0)", "CRITICAL", "ERROR"),
+    ]) + " UNION ALL " + _results("(SELECT coalesce(doc_id, 'None') AS k FROM extractions GROUP BY 1 HAVING count(*) > 1)", [("extractions.doc_id.unique", "unique", "1", "CRITICAL", "FAIL")]),
+    "relational_tests": """
+WITH e AS (SELECT doc_id, x.entity_id AS entity_id, x.name AS name, x.type AS type FROM (SELECT doc_id, unnest(entities) AS x FROM extractions) y)
+SELECT 'not_null' AS test, 'doc_id' AS column_name, count(*) FILTER (doc_id IS NULL) AS failures FROM e UNION ALL SELECT 'not_null', 'entity_id', count(*) FILTER (entity_id IS NULL) FROM e
+UNION ALL SELECT 'not_null', 'name', count(*) FILTER (name IS NULL) FROM e UNION ALL SELECT 'not_null', 'type', count(*) FILTER (type IS NULL) FROM e
+UNION ALL SELECT 'accepted_values', 'type', count(*) FILTER (type NOT IN ('PERSON','ORG','LOCATION','DATE','AMOUNT','OTHER')) FROM e
+UNION ALL SELECT 'unique', 'entity_id', count(*) FROM (SELECT entity_id FROM e WHERE entity_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1) t""",
+    "json_schema_verdicts": """
+SELECT load_id, count(*) AS n, count(*) FILTER (NOT coalesce(
+  length(verdict_id) >= 36 AND overall_verdict IN ('PASS','FAIL','WARN') AND overall_score BETWEEN 1 AND 5 AND coalesce(confidence BETWEEN 0 AND 1, true) AND cardinality(scores) >= 3
+  AND len([1 FOR s IN map_values(scores) IF s IS NULL OR s.score IS NULL OR NOT s.score BETWEEN 1 AND 5 OR coalesce(list_contains([e IS NULL FOR e IN s.evidence], true), false)]) = 0, false)) AS invalid FROM verdicts GROUP BY 1""",
+    "drawn_contract": "SELECT * FROM (VALUES ('required', 'PASS', CAST(11 AS BIGINT)), ('range', 'PASS', CAST(16 AS BIGINT))) t(check_type, status, n)",
 }

@@ -219,3 +219,58 @@ def test_streams(spark, tmp_path):
     q = check_stream(stream, [Clause("v.range", "v", "range", F.col("v") < 0)], lambda df, n: got.extend(df.collect()), f"{tmp_path}/cp")
     q.awaitTermination(60)
     assert sum(r.records_failing for r in got) == 1
+
+
+def test_declared_contract_at_every_depth(spark):
+    from millrace.operators.contracts import Contract, validate
+
+    schema = {
+        "a": {"required": True, "unique": True, "minimum": 1}, "s": {"properties": {"x": {"required": True, "enum": [1, 2]}}},
+        "l": {"minItems": 1, "items": {"properties": {"v": {"required": True, "maximum": 5}, "m": {"items": {"pattern": "^q"}}}}},
+    }
+    df = spark.createDataFrame(
+        [(1, (3,), [(9.0, ["q", "r"]), None, (None, None)]), (1, None, []), (None, (None,), None), (0, (1,), [(1.0, [None, "r"])])],
+        "a int, s struct<x:int>, l array<struct<v:double,m:array<string>>>",
+    )
+    n = {r.check_id[2:]: (r.status, r.records_failing) for r in validate(df, Contract("c", schema, ["row_count >= 5"], {"a": ("other", "k")}), {"other": spark.createDataFrame([(1,)], "k int")}).collect()}
+    quality = next(k for k in n if k.startswith("quality"))
+    assert n.pop(quality) == ("FAIL", 1)
+    assert n == {
+        "a.required": ("ERROR", 1), "a.minimum": ("FAIL", 1), "s.x.required": ("ERROR", 1), "s.x.enum": ("FAIL", 1), "l.minItems": ("FAIL", 1), "l[].v.required": ("ERROR", 1),
+        "l[].v.maximum": ("FAIL", 1), "l[].m[].pattern": ("FAIL", 2), "a.unique": ("FAIL", 1), "a.relationships": ("FAIL", 1),
+    }
+    assert validate(df, Contract("c", {})).count() == 0
+    assert validate(df.where("false"), Contract("c", schema)).where("status <> 'PASS'").count() == 0
+
+
+def test_documents_and_command_line(spark, tmp_path):
+    from datetime import datetime, timezone
+
+    from millrace import cli
+    from millrace.sources import documents
+
+    assert rows(documents.subscriptions(spark, str(tmp_path / "none.json"))) == []
+    (tmp_path / "subs.json").write_text(json.dumps({"subscriptions": [{"contract_id": "c", "subscriber_id": "s", "breaking_fields": [{"field": "f", "reason": "r"}, {"field": "g"}]}, "junk"]}))
+    assert rows(documents.subscriptions(spark, str(tmp_path / "subs.json")), "subscriber_id", "field") == [("s", "f"), ("s", "g")]
+    for day in (1, 20, 21):
+        documents.write_schema_version(str(tmp_path / "v"), {"a": {"type": "string", "required": day < 21}}, "c", datetime(2024, 1, day, tzinfo=timezone.utc))
+    versions = documents.schema_versions(str(tmp_path / "v"))
+    assert len(versions) == 3 and documents.read_schema_version(str(tmp_path / "v"), versions[0]) == {"a": {"type": "string", "required": True}}
+    now = datetime(2024, 1, 22, tzinfo=timezone.utc)
+    assert documents.versions_since(versions, 7, now) == versions[1:] and documents.versions_since(versions, 0.5, now) == versions[1:]
+    assert documents.is_inferred({"a": {"types": ["str"]}}) and not documents.is_inferred({"a": {"type": "string"}})
+    assert documents.staleness(datetime(2024, 1, 1, tzinfo=timezone.utc), now) and documents.staleness(now, now) is None
+    assert cli.main(["diff", "--versions", str(tmp_path / "v")]) == 1
+    assert cli.main(["diff", "--versions", str(tmp_path / "none")]) == 0
+    spark.createDataFrame([(1, "x"), (5, None)], "a int, b string").write.parquet(str(tmp_path / "d.parquet"))
+    (tmp_path / "c.json").write_text(json.dumps({"id": "c", "schema": {"a": {"maximum": 3}, "b": {"required": True}, "junk": 1}, "quality": ["row_count >= 1"]}))
+    run = lambda mode, **k: cli.main(["validate", "--data", str(tmp_path / "d.parquet"), "--output", str(tmp_path / "r.json"), "--mode", mode, *sum(([f"--{x}", y] for x, y in k.items()), [])])
+    assert (run("AUDIT", contract=str(tmp_path / "c.json")), run("WARN", contract=str(tmp_path / "c.json"))) == (0, 1)
+    assert json.loads((tmp_path / "r.json").read_text())["errored"] == 1
+    assert run("ENFORCE", dataset="unknown") == 0
+    stored = documents.stored_results(spark, str(tmp_path / "r.json"))
+    assert rows(stored, "status") == [("ERROR",)]
+    assert cli.main(["draw", "--data", str(tmp_path / "d.parquet"), "--id", "d", "--versions", str(tmp_path / "w")]) == 0
+    assert documents.read_schema_version(str(tmp_path / "w"), documents.schema_versions(str(tmp_path / "w"))[0])["a"] == {"type": "integer", "required": True, "minimum": 1.0, "maximum": 5.0}
+    assert documents.latest_document(str(tmp_path), "c.js*n")[0]["id"] == "c" and documents.latest_document(str(tmp_path), "zz*") == (None, None)
+    assert ("c.json",) in rows(documents.file_inventory(spark, str(tmp_path)))
