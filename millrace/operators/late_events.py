@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import instant, uuid_key
-from ..sources.shared import Workspace, exists, remove
+from ..sources.shared import Workspace, numbered, remove
 
 EVENT = ["event_key"]
 PERIOD = ["aggregate_id", "period_day"]
@@ -124,20 +124,23 @@ class PeriodLedger:
     partials. Absorbing a batch again has no effect, as folding is by minimum and maximum: for a log
     absorbed in any order and any batches before its periods close, ``read`` equals :func:`periods`.
 
-    Under ``path`` lie ``open/<generation>`` (folded events), ``closed/<n>`` (partials of closed periods) and
-    ``refused/<n>`` (events that came for a closed period). Every step writes a new folder and only then drops
-    the old one, so a lost executor or a failed step leaves the former state.
+    Under ``path`` lie ``open/<generation>`` (folded events) and ``closed/<day>`` (partials of the periods closed by that
+    day). Every step writes a new folder and only then drops the old one, so a lost executor or a failed step leaves
+    the former state, and a ledger can be opened again by another session.
     """
 
     def __init__(self, spark: SparkSession, path: str, late: Lateness = Lateness()):
         self.spark, self.path, self.late = spark, path.rstrip("/"), late
-        self.generation = 0
-        self.closed_before_day = 0  # days since the epoch; every earlier day is closed
-        self._parts: list[str] = []
+        self._closed = numbered(spark, f"{self.path}/closed")
+        self.closed_before_day = max(self._closed, default=0)  # days since the epoch; every earlier day is closed
+        self.generation = max(numbered(spark, f"{self.path}/open"), default=0)
 
     def _open(self) -> DataFrame | None:
-        at = f"{self.path}/open/{self.generation}"
-        return self.spark.read.parquet(at) if exists(self.spark, at) else None
+        """The folded events of open periods, without those that a step cut short had closed already."""
+        if not self.generation:
+            return None
+        held = self.spark.read.parquet(f"{self.path}/open/{self.generation}")
+        return held.where(~F.coalesce(F.col("occurred") < F.lit(self.closed_before_day * 86_400_000_000), F.lit(False)))
 
     def _swap(self, df: DataFrame) -> None:
         df.write.mode("overwrite").parquet(f"{self.path}/open/{self.generation + 1}")
@@ -165,19 +168,18 @@ class PeriodLedger:
         before = max(self.closed_before_day, (now_micros - self.late.closed_hours * hour) // day)
         held = self._open()
         if held is None or before == self.closed_before_day:
-            self.closed_before_day = before
             return
         done = F.col("occurred") < F.lit(before * day)
         at = f"{self.path}/closed/{before}"
         partials(held.where(done)).write.mode("overwrite").parquet(at)
-        self._parts.append(at)
+        self._closed.append(before)
         self._swap(held.where(~F.coalesce(done, F.lit(False))))
         self.closed_before_day = before
 
     def read(self) -> DataFrame:
         """All periods, closed and open, combined from partials."""
         held = self._open()
-        parts = [self.spark.read.parquet(p) for p in self._parts] + ([partials(held)] if held is not None else [])
+        parts = [self.spark.read.parquet(f"{self.path}/closed/{n}") for n in self._closed] + ([partials(held)] if held is not None else [])
         if not parts:
             raise ValueError("no batch has been absorbed")
         whole = parts[0]

@@ -7,6 +7,7 @@ identifiers to the row with the lowest delivery number.
 
 from __future__ import annotations
 
+import atexit
 import uuid
 from collections.abc import Sequence
 
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import blank_to_null, uuid_key
-from ..sources.shared import Workspace, remove
+from ..sources.shared import Workspace, numbered, remove
 
 
 def message_key(identifiers: Sequence[Column], qualifiers: Sequence[Column] = ()) -> Column:
@@ -50,7 +51,7 @@ class MessageStore:
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = 64, order: str = "delivery_id"):
         self.spark, self.path, self.buckets, self.order = spark, path.rstrip("/"), buckets, order
-        self.generation = 0
+        self.generation = max(numbered(spark, self.path), default=0)
         self._table = self._create()
 
     def _create(self) -> str:
@@ -59,8 +60,16 @@ class MessageStore:
             f"CREATE TABLE {name} (message_key BINARY, {self.order} BIGINT) USING parquet "
             f"CLUSTERED BY (message_key) SORTED BY (message_key) INTO {self.buckets} BUCKETS LOCATION '{self.path}/{self.generation}'"
         )
+        atexit.register(self._forget, name)
         return name
 
+    def _forget(self, name: str) -> None:
+        """Drop the table's name; what it holds stays in its folder."""
+        try:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        except Exception:  # the session may be gone already
+            pass
+
     def upsert(self, batch: DataFrame) -> None:
         """Add one sorted run per bucket with the lowest ``order`` of each message of ``batch``; null keys are not messages."""
         run = collapse(batch.where("message_key is not null"), self.order).repartition(self.buckets, "message_key")
@@ -75,6 +84,7 @@ class MessageStore:
         old, merged = self._table, self.read()
         at = f"{self.path}/{self.generation}"
         self.generation += 1
+        remove(self.spark, f"{self.path}/{self.generation}")  # of a compaction that was cut short
         self._table = self._create()
         merged.sortWithinPartitions("message_key").select("message_key", self.order).write.insertInto(self._table)
         self.spark.sql(f"DROP TABLE {old}")

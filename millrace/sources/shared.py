@@ -41,6 +41,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def numbered(spark: SparkSession, path: str) -> list[int]:
+    """The numbers of the finished tables in a folder that holds tables by number, in order."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(target):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(target)]
+    return sorted(int(n) for n in names if n.isdigit() and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS")))
+
+
 class Workspace:
     """A subfolder for the tables of one run of an operator.
 

@@ -66,6 +66,10 @@ def test_increments_equal_the_whole_in_any_order(spark, tmp_path):
     for part in (events[40:], events[:25], events[25:40], events[:25]):  # a batch comes twice
         assert ledger.absorb(log(spark, *part)) == 0
     assert rows(ledger.read()) == rows(whole)
+    ledger.close(int((base + timedelta(days=4, hours=1)).timestamp() * 1e6))
+    assert rows(ledger.read()) == rows(whole) and ledger.closed_before_day == 17169
+    ledger = PeriodLedger(spark, f"file://{tmp_path}/ledger")  # opened again
+    assert rows(ledger.read()) == rows(whole)
     ledger.close(int((base + timedelta(days=60)).timestamp() * 1e6))
     assert rows(ledger.read()) == rows(whole)
     assert ledger.absorb(log(spark, event(99, A, base.isoformat(), base.isoformat()))) == 1  # closed

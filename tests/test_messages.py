@@ -32,6 +32,7 @@ def test_replays_and_compaction_change_nothing(spark, tmp_path):
     before = rows(store.read())
     store.compact()
     assert rows(store.read()) == before == rows(survivors(spark, k, 2))
+    assert rows(MessageStore(spark, f"file://{tmp_path}/store", 4).read()) == before  # opened again
     assert "Exchange" not in store.read()._jdf.queryExecution().executedPlan().toString()
 
 
