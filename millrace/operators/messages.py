@@ -91,9 +91,12 @@ class MessageStore:
         remove(self.spark, at)
 
 
-def survivors(spark: SparkSession, keyed: DataFrame, buckets: int = 64) -> DataFrame:
-    """The kept ``(message_key, delivery_id)`` of a whole table, through a store of its own."""
-    store = MessageStore(spark, f"{Workspace(spark, 'messages').path}", buckets)
+def survivors(spark: SparkSession, keyed: DataFrame, buckets: int | None = None) -> DataFrame:
+    """The kept ``(message_key, delivery_id)`` of a whole table, through a store of its own.
+
+    It has as many buckets as the session shuffles into, which is set by the size of the data.
+    """
+    store = MessageStore(spark, Workspace(spark, "messages").path, buckets or int(spark.conf.get("spark.sql.shuffle.partitions")))
     store.upsert(keyed)
     return store.read()
 

@@ -11,9 +11,6 @@ from ..operators.snapshots import node_changes
 from ..sources.shared import Workspace
 from ..sources.tables import table
 
-#: Buckets of a message store: about 1 GB of keys each at 100 TB of messages needs more, at some GB fewer do.
-MESSAGE_BUCKETS = 24
-
 
 def p1_periods(spark: SparkSession, folder: str) -> DataFrame:
     return late_events.periods(spark, table(spark, folder, "event_log"))
@@ -48,7 +45,7 @@ def _keyed(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     parts = []
     for name, keyed in _keyed(spark, folder).items():
-        kept = messages.survivors(spark, keyed, MESSAGE_BUCKETS)
+        kept = messages.survivors(spark, keyed)
         parts.append(messages.surplus(keyed, kept).select(F.lit(name).alias("table_name"), "delivery_id"))
     return parts[0].unionByName(parts[1])
 
@@ -56,7 +53,7 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
 def p3_event_log_once(spark: SparkSession, folder: str) -> DataFrame:
     log = table(spark, folder, "event_log")
     key = messages.message_key([F.col("event_id")])
-    kept = messages.survivors(spark, log.select(key.alias("message_key"), "delivery_id"), MESSAGE_BUCKETS)
+    kept = messages.survivors(spark, log.select(key.alias("message_key"), "delivery_id"))
     once = messages.deduplicate(log, key, kept)
     return once.select("delivery_id", "batch_id", "event_id", "event_type", "aggregate_id", "sequence_number", "occurred_at", "recorded_at")
 
