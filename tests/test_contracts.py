@@ -72,7 +72,7 @@ def test_intents_and_quirks(spark):
 def test_gate(spark):
     fail = spark.createDataFrame([("FAIL", "HIGH"), ("ERROR", "CRITICAL"), ("FAIL", None)], "status string, severity string")
     assert [checks.blocks(fail, m) for m in ("AUDIT", "WARN", "ENFORCE")] == [False, False, True]
-    assert datasets.dispatch("doc-refinery-extractions-events") == "extractions" and datasets.dispatch("other") is None
+    assert datasets.dispatch("some-extractions-events") == "extractions" and datasets.dispatch("other") is None
     assert datasets.unsupported_result(spark, "other").first().status == "ERROR"
 
 
