@@ -92,15 +92,41 @@ def reported(changes: DataFrame) -> DataFrame:
     return changes.select("feed", "file_name", F.inline(F.when(kind == "moved", both).otherwise(F.array(plain))))
 
 
+def _at(path: str, top: str) -> bool:
+    return path == top or path.startswith(top + ".")
+
+
+def _end(path: str, names: dict[str, str]) -> None:
+    """End what stands in the way of ``path`` as a field of its own: its former mapping and those onto its name, which then are new fields, too."""
+    todo = [path]
+    while todo:
+        new = todo.pop()
+        for p in [p for p in names if _at(p, new)]:
+            del names[p]
+        taken = _first(new, names)
+        for p in [p for p, f in names.items() if _at(f, taken) and not _at(new, p)]:
+            if p in names:
+                del names[p]
+                todo.append(p)
+
+
 def _names(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The names in force in each file of one feed that differ from the first ones, as ``{local: first}``."""
+    """The names in force in each file of one feed that differ from the first ones, as ``{local: first}``.
+
+    A mapping ends with its field, and where its first name is given to a new field.
+    """
     current: dict[str, str] = {}  # local path -> the path under which the field first came
     out = []
     for name, ops in pdf.sort_values("file_name", kind="stable").groupby("file_name", sort=True):
-        for old, new in zip(ops["field"], ops["to_field"], strict=True):
-            first = _first(old, current)
-            moved = {new + p[len(old) :]: f for p, f in current.items() if p.startswith(old + ".")}
-            current = {p: f for p, f in current.items() if p != old and not p.startswith(old + ".")} | moved | {new: first}
+        of = lambda *kinds: ops[ops["change_kind"].isin(kinds)]  # noqa: B023, E731
+        renames = list(zip(of("renamed", "moved")["field"], of("renamed", "moved")["to_field"], strict=True))
+        gone = [*of("removed")["field"], *(old for old, _ in renames)]
+        moved: dict[str, str] = {}
+        for old, new in renames:
+            moved |= {new + p[len(old) :]: f for p, f in current.items() if p.startswith(old + ".")} | {new: _first(old, current)}
+        current = {p: f for p, f in current.items() if not any(_at(p, g) for g in gone)} | moved
+        for new in of("added")["field"]:
+            _end(new, current)
         current = {p: f for p, f in current.items() if p != f}
         out.append((pdf["feed"].iloc[0], name, json.dumps(current)))
     return pd.DataFrame(out, columns=["feed", "file_name", "names"])
@@ -122,19 +148,59 @@ def projections(spark: SparkSession, lines: DataFrame, changes: DataFrame) -> Da
     Scripts of a feed are put together in the order of its files; there are as many rows as changes of names, not as records.
     """
     ship(spark)
-    renames = changes.where("to_field is not null").select("feed", "file_name", "field", "to_field")
-    steps = renames.groupBy("feed").applyInPandas(_names, "feed string, file_name string, names string")
+    named = changes.where("change_kind <> 'type_changed'").select("feed", "file_name", "field", "change_kind", "to_field")
+    steps = named.groupBy("feed").applyInPandas(_names, "feed string, file_name string, names string")
     files = lines.select("feed", "file_name").where("feed is not null and file_name is not null").distinct().join(steps, ["feed", "file_name"], "left")
     latest = F.last("names", ignorenulls=True).over(W.partitionBy("feed").orderBy("file_name"))
     return files.select("feed", "file_name", F.coalesce(latest, F.lit("{}")).alias("names"))
 
 
-def _leaves(value, path: str, out: dict[str, str]) -> None:
+def _parts(value: dict, above: tuple[str, ...] = ()) -> Iterator[tuple[tuple[str, ...], object]]:
+    for k, x in value.items():
+        if isinstance(x, dict) and x:
+            yield from _parts(x, (*above, k))
+        else:
+            yield (*above, k), x
+
+
+def _put(into: dict, path: tuple[str, ...], value) -> bool:
+    """Set ``value`` at ``path``, unless something else is there."""
+    for k in path[:-1]:
+        into = into.setdefault(k, {})
+        if not isinstance(into, dict):
+            return False
+    return into.setdefault(path[-1], value) is value
+
+
+def _inside(value, path: str, names: dict[str, str]):
+    """``value``, an element of the list at ``path``, with the fields of its objects under their first names.
+
+    A field that came into the list from outside it has no place there under its first name and keeps its own.
+    """
+    if isinstance(value, list):
+        return [_inside(x, path, names) for x in value]
+    if not isinstance(value, dict):
+        return value
+    out: dict = {}
+    base = _first(path, names) + "."
+    for rel, x in _parts(value):
+        local = ".".join((path, *rel))
+        first = _first(local, names)
+        to = tuple(first[len(base) :].split(".")) if first.startswith(base) and first != base + ".".join(rel) else rel
+        x = _inside(x, local, names)
+        if not _put(out, to, x):
+            _put(out, rel, x)
+    return out
+
+
+def _leaves(value, path: str, names: dict[str, str], out: dict[str, str]) -> None:
     if isinstance(value, dict) and value:
         for k, x in value.items():
-            _leaves(x, f"{path}.{k}" if path else k, out)
+            _leaves(x, f"{path}.{k}" if path else k, names, out)
     elif value is not None:
-        out[path] = value if isinstance(value, str) else json.dumps(value)
+        value = _inside(value, path, names) if names and isinstance(value, list) else value
+        first = _first(path, names)
+        out[path if first in out else first] = value if isinstance(value, str) else json.dumps(value)
 
 
 def _project(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -149,15 +215,15 @@ def _project(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 parsed.clear() if len(parsed) > 10_000 else None
                 parsed[names] = json.loads(names)
             leaves: dict[str, str] = {}
-            _leaves(record, "", leaves)
-            out.append((dataset, feed, name, line, {_first(p, parsed[names]): v for p, v in leaves.items()}))
+            _leaves(record, "", parsed[names], leaves)
+            out.append((dataset, feed, name, line, leaves))
         yield pd.DataFrame(out, columns=["dataset", "feed", "file_name", "line_no", "fields"])
 
 
 def consistent_table(spark: SparkSession, lines: DataFrame, changes: DataFrame) -> DataFrame:
     """``dataset, feed, file_name, line_no, fields``: every record, with its fields under the names they first had.
 
-    ``fields`` maps dotted paths to values as text, arrays as JSON; null values have no entry, objects are given by
+    ``fields`` maps dotted paths to values as text, arrays as JSON whose objects have the first names, too; null values have no entry, objects are given by
     their parts. All records are kept; lines that are no JSON objects are none.
     """
     ship(spark)

@@ -72,3 +72,29 @@ def test_consistent_table_keeps_first_names(spark):
 def test_file_without_records_and_empty_table(spark):
     assert changes(spark, [{"a": 1}], ["null"], [{"a": 2}]) == [("f/1", "a", "removed"), ("f/2", "a", "added")]
     assert changes(spark) == []
+
+
+def test_consistent_table_renames_inside_arrays(spark):
+    types = ["integer", "string", "number", "boolean"] * 5
+    one = [{"diff": {"type_changes": [{"field": f"col_{i}.x", "was": {"kind_a": t}}, {"field": f"k_{i}.y", "was": {"kind_a": t}}], "n": i}} for i, t in enumerate(types)]
+    two = [{"diff": {"type_changes": [{"column_name": c["field"], "was": c["was"]} for c in r["diff"]["type_changes"]], "n": 1}} for r in one]
+    df = lines(spark, {"f/0": one, "f/1": two, "f/2": two})
+    found = schema_changes(spark, df)
+    assert rows(found, "file_name", "field", "change_kind", "to_field") == [("f/1", "diff.type_changes.field", "renamed", "diff.type_changes.column_name")]
+    got = consistent_table(spark, df, found).collect()
+    assert len(got) == 60
+    for r in got:
+        assert json.loads(r.fields["diff.type_changes"]) == one[r.line_no]["diff"]["type_changes"]
+
+
+def test_a_name_used_again(spark):
+    note = lambda i: f"note number {i}"
+    ids = [f"{i:08x}-0000-4000-8000-{i:012x}" for i in range(20)]
+    df = lines(spark, {
+        "f/0": [{"run_id": x} for x in ids], "f/1": [{"run_ref": x} for x in ids],
+        "f/2": [{"run_ref": x, "run_id": i} for i, x in enumerate(ids)],  # another field takes the first name
+        "g/0": [{"run_id": x, "k": 1} for x in ids], "g/1": [{"run_ref": x, "k": 1} for x in ids], "g/2": [{"k": 1}], "g/3": [{"k": 1, "run_ref": note(1)}],
+    }).selectExpr("dataset", "substring(file_name, 1, 1) feed", "file_name", "line_no", "raw", "fields")
+    got = {(r.file_name, r.line_no): r.fields for r in consistent_table(spark, df, schema_changes(spark, df)).collect()}
+    assert got["f/1", 3] == {"run_id": ids[3]} and got["f/2", 3] == {"run_ref": ids[3], "run_id": "3"}
+    assert got["g/1", 3] == {"run_id": ids[3], "k": "1"} and got["g/3", 0] == {"k": "1", "run_ref": note(1)}
