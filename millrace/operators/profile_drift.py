@@ -5,8 +5,7 @@ often each value of each column came in each load. Counts are signed, so a load
 its delta. Exact metrics - nulls, distinct values, range, mean, entropy - and the histograms that loads are
 compared by are derived from the counts, never from the records again.
 
-A value is kept as a 64-bit hash together with its form and length, or its number; two values of one column are
-taken for one only if all of these agree.
+A value is kept as it is, its text or its number, with a 64-bit hash by which it is looked up.
 """
 
 from __future__ import annotations
@@ -96,10 +95,10 @@ def _entries(schema: T.StructType, skip: set[str]) -> tuple[list[str], list[Colu
 
 
 def value_counts(df: DataFrame, load: str = "load_id", skip: tuple[str, ...] = ("load_id", "loaded_at")) -> tuple[DataFrame, list[str]]:
-    """The delta of ``df``: ``load_id, c, key, form, x, n``, and the names of the columns that ``c`` numbers.
+    """The delta of ``df``: ``load_id, c, key, form, t, x, n``, and the names of the columns that ``c`` numbers.
 
-    One row for each value of each column in each load. ``key`` and ``form`` are null for a null value, ``form`` also for
-    numbers; of an array or a map the value is its size, its parts are columns of their own: ``a.b`` for fields,
+    One row for each value of each column in each load. ``t`` is a text, ``x`` a number. ``key`` and ``form`` are null for a null
+    value, ``form`` also for numbers; of an array or a map the value is its size, its parts are columns of their own: ``a.b`` for fields,
     ``a[]`` for elements, ``a.key`` for keys. ``form`` is the length and the first characters with letters and digits as
     ``x``, capitals as ``X``, runs taken together.
     """
@@ -108,11 +107,9 @@ def value_counts(df: DataFrame, load: str = "load_id", skip: tuple[str, ...] = (
     start = F.translate(F.substring("t", 1, 28), _LOWER + _UPPER, "x" * len(_LOWER) + "X" * len(_UPPER))
     long_ = F.when(F.length("t") > 48, F.lit(48) + F.floor(F.length("t") / 16).cast("int")).otherwise(F.length("t"))
     form = F.concat_ws("|", F.lpad(long_.cast("string"), 4, "0"), F.regexp_replace(start, r"(.)\1+", "$1"))
-    rows = flat.select(
-        "load_id", "c", F.when(F.col("t").isNotNull(), F.xxhash64("t")).when(F.col("x").isNotNull(), F.xxhash64("x")).alias("key"),
-        F.when(F.col("t").isNotNull(), form).alias("form"), "x",
-    )
-    return rows.groupBy("load_id", "c", "key", "form", "x").agg(F.count(F.lit(1)).alias("n")), names
+    key = F.when(F.col("t").isNotNull(), F.xxhash64("t")).when(F.col("x").isNotNull(), F.xxhash64("x"))
+    rows = flat.groupBy("load_id", "c", "t", "x").agg(F.count(F.lit(1)).alias("n"))
+    return rows.select("load_id", "c", key.alias("key"), F.when(F.col("t").isNotNull(), form).alias("form"), "t", "x", "n"), names
 
 
 class ValueCounts:
@@ -142,7 +139,7 @@ class ValueCounts:
         for d in self.deltas[1:]:
             whole = whole.unionByName(d)
         if len(self.deltas) > 1:
-            whole = whole.groupBy("load_id", "c", "key", "form", "x").agg(F.sum("n").alias("n")).where("n <> 0")
+            whole = whole.groupBy("load_id", "c", "key", "form", "t", "x").agg(F.sum("n").alias("n")).where("n <> 0")
         return whole
 
     def compact(self) -> None:
@@ -150,25 +147,56 @@ class ValueCounts:
         self._made += 1
 
 
+def _classes(t: Column) -> Column:
+    """The format of a whole text: each run of letters and digits as ``x``, of white space as a blank, each other character once a run; repeated words are one."""
+    plain = F.regexp_replace(F.regexp_replace(t, r"[\p{L}\p{M}\p{N}]+", "x"), r"\s+", " ")
+    return F.regexp_replace(F.regexp_replace(plain, r"(.)\1+", "$1"), r"(\S+ )\1+", "$1")
+
+
+def _malformed(counts: DataFrame) -> DataFrame:
+    """``c, format, odd``: whether a format of a text column is none of its usual ones.
+
+    Usual is what at least a hundredth of the texts of the column have, over all loads; a column less than nine tenths of
+    which have a usual format, such as one of free text, has none, and no row here.
+    """
+    share = F.col("m") / F.sum("m").over(W.partitionBy("c"))
+    odd = counts.where("t is not null").groupBy("c", _classes(F.col("t")).alias("format")).agg(F.sum("n").alias("m"))
+    odd = odd.withColumn("odd", share < 0.01)
+    usual = F.sum(F.when(~F.col("odd"), F.col("m"))).over(W.partitionBy("c")) / F.sum("m").over(W.partitionBy("c"))
+    return odd.withColumn("usual", usual).where("usual >= 0.9").select("c", "format", "odd")
+
+
 def metrics(counts: DataFrame, names: list[str], per_load: bool = True) -> DataFrame:
-    """Exact metrics of each column, per load or over all: ``column_name, values, nulls, distinct, least, greatest, mean, entropy``.
+    """Exact metrics of each column, per load or over all.
 
-    ``values`` includes nulls; ``least``, ``greatest`` and ``mean`` are of numbers, sizes of arrays and maps; ``entropy`` in
-    bits over the non-null values, 0 where there are none.
+    ``column_name, values, nulls, distinct, least, greatest, mean, entropy, least_text, greatest_text, malformed``: ``values``
+    includes nulls; ``least``, ``greatest`` and ``mean`` are of numbers, sizes of arrays and maps, ``least_text`` and
+    ``greatest_text`` of texts by their bytes; ``entropy`` in bits over the non-null values, 0 where there are none.
+    ``malformed`` counts texts whose format is none of the usual ones of their column over all of ``counts``; it is null
+    for columns that have no usual format and for those without texts.
     """
     by = ["load_id", "c"] if per_load else ["c"]
+    formats = _malformed(counts)
+    odd = counts.where("t is not null").groupBy(*by, _classes(F.col("t")).alias("format")).agg(F.sum("n").alias("n"))
+    odd = odd.join(formats, ["c", "format"]).groupBy(*by).agg(F.sum(F.when(F.col("odd"), F.col("n")).otherwise(0)).alias("malformed"))
     if not per_load:
-        counts = counts.groupBy("c", "key", "form", "x").agg(F.sum("n").alias("n"))
+        counts = counts.groupBy("c", "key", "t", "x").agg(F.sum("n").alias("n"))
     some = F.col("key").isNotNull()
     there = F.when(some, F.col("n"))
     m = counts.groupBy(*by).agg(
         F.sum("n").alias("values"), F.coalesce(F.sum(F.when(~some, F.col("n"))), F.lit(0)).alias("nulls"), F.count(there).alias("distinct"),
         F.min("x").alias("least"), F.max("x").alias("greatest"), (F.sum(F.col("x") * F.col("n")) / F.sum(F.when(F.col("x").isNotNull(), F.col("n")))).alias("mean"),
-        F.sum(there * F.log2(there)).alias("nlogn"), F.sum(there).alias("some"),
+        F.sum(there * F.log2(there)).alias("nlogn"), F.sum(there).alias("some"), F.min("t").alias("least_text"), F.max("t").alias("greatest_text"),
     )
+    # of a null load, too
+    pair = [m[k].eqNullSafe(odd[k]) for k in by]
+    m = m.join(odd, pair, "left").select(*(m[k] for k in m.columns), "malformed")
     entropy = F.coalesce(F.log2("some") - F.col("nlogn") / F.col("some"), F.lit(0.0))
     name = F.element_at(F.array(*map(F.lit, names)), F.col("c") + 1)
-    return m.select(*(["load_id"] if per_load else []), name.alias("column_name"), "values", "nulls", "distinct", "least", "greatest", "mean", F.abs(F.round(entropy, 9)).alias("entropy"))
+    return m.select(
+        *(["load_id"] if per_load else []), name.alias("column_name"), "values", "nulls", "distinct", "least", "greatest", "mean",
+        F.abs(F.round(entropy, 9)).alias("entropy"), "least_text", "greatest_text", "malformed",
+    )
 
 
 def _number_bin(x: Column) -> Column:

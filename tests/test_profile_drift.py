@@ -63,3 +63,15 @@ def test_empty(spark):
     store.apply(df)
     assert metrics(store.read(), store.names).count() == 0
     assert changed_columns(spark, store, loads_in_order(df)).count() == 0
+
+
+def test_range_and_malformed_values_of_text(spark):
+    data = [row(str(k), a=f"{i:04d}-{k}") for k in (1, 2) for i in range(100)] + [row("2", a="?"), row("2", a="12/3"), row("2", a=None)]
+    store = ValueCounts(spark)
+    store.apply(spark.createDataFrame(data, SCHEMA))
+    got = {(r.load_id, r.column_name): r for r in metrics(store.read(), store.names).collect()}
+    assert (got["1", "a"].least_text, got["1", "a"].greatest_text, got["1", "a"].malformed) == ("0000-1", "0099-1", 0)
+    assert (got["2", "a"].least_text, got["2", "a"].greatest_text, got["2", "a"].malformed) == ("0000-2", "?", 2)
+    assert (got["2", "b"].least_text, got["2", "b"].malformed) == (None, None)
+    whole = {r.column_name: r for r in metrics(store.read(), store.names, per_load=False).collect()}
+    assert (whole["a"].least_text, whole["a"].greatest_text, whole["a"].malformed, whole["a"].nulls) == ("0000-1", "?", 2, 1)
