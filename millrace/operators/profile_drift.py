@@ -95,21 +95,17 @@ def _entries(schema: T.StructType, skip: set[str]) -> tuple[list[str], list[Colu
 
 
 def value_counts(df: DataFrame, load: str = "load_id", skip: tuple[str, ...] = ("load_id", "loaded_at")) -> tuple[DataFrame, list[str]]:
-    """The delta of ``df``: ``load_id, c, key, form, t, x, n``, and the names of the columns that ``c`` numbers.
+    """The delta of ``df``: ``load_id, c, key, t, x, n``, and the names of the columns that ``c`` numbers.
 
-    One row for each value of each column in each load. ``t`` is a text, ``x`` a number. ``key`` and ``form`` are null for a null
-    value, ``form`` also for numbers; of an array or a map the value is its size, its parts are columns of their own: ``a.b`` for fields,
-    ``a[]`` for elements, ``a.key`` for keys. ``form`` is the length and the first characters with letters and digits as
-    ``x``, capitals as ``X``, runs taken together.
+    One row for each value of each column in each load. ``t`` is a text, ``x`` a number. ``key`` is null for a null
+    value; of an array or a map the value is its size, its parts are columns of their own: ``a.b`` for fields,
+    ``a[]`` for elements, ``a.key`` for keys.
     """
     names, arrays = _entries(df.schema, set(skip))
     flat = df.select(F.col(load).alias("load_id"), F.inline(F.concat(*(F.coalesce(a, F.array().cast(_ENTRY)) for a in arrays))))
-    start = F.translate(F.substring("t", 1, 28), _LOWER + _UPPER, "x" * len(_LOWER) + "X" * len(_UPPER))
-    long_ = F.when(F.length("t") > 48, F.lit(48) + F.floor(F.length("t") / 16).cast("int")).otherwise(F.length("t"))
-    form = F.concat_ws("|", F.lpad(long_.cast("string"), 4, "0"), F.regexp_replace(start, r"(.)\1+", "$1"))
     key = F.when(F.col("t").isNotNull(), F.xxhash64("t")).when(F.col("x").isNotNull(), F.xxhash64("x"))
     rows = flat.groupBy("load_id", "c", "t", "x").agg(F.count(F.lit(1)).alias("n"))
-    return rows.select("load_id", "c", key.alias("key"), F.when(F.col("t").isNotNull(), form).alias("form"), "t", "x", "n"), names
+    return rows.select("load_id", "c", key.alias("key"), "t", "x", "n"), names
 
 
 class ValueCounts:
@@ -139,7 +135,7 @@ class ValueCounts:
         for d in self.deltas[1:]:
             whole = whole.unionByName(d)
         if len(self.deltas) > 1:
-            whole = whole.groupBy("load_id", "c", "key", "form", "t", "x").agg(F.sum("n").alias("n")).where("n <> 0")
+            whole = whole.groupBy("load_id", "c", "key", "t", "x").agg(F.sum("n").alias("n")).where("n <> 0")
         return whole
 
     def compact(self) -> None:
@@ -206,13 +202,37 @@ def _number_bin(x: Column) -> Column:
     return F.when(x == 0, 0).when(x > 0, step).otherwise(-step)
 
 
+def _start(t: Column) -> Column:
+    """The first characters with letters and digits as ``x``, capitals as ``X``, runs taken together."""
+    start = F.translate(F.substring(t, 1, 28), _LOWER + _UPPER, "x" * len(_LOWER) + "X" * len(_UPPER))
+    return F.regexp_replace(start, r"(.)\1+", "$1")
+
+
+def _format(t: Column) -> Column:
+    """The whole text with small letters as ``a``, capitals as ``A``, digits as ``9``, runs and repeated words taken together.
+
+    Where letters and digits alternate, as in hashes, they are one ``x``; else hardly two values would be alike.
+    """
+    plain = F.translate(t, _LOWER + _UPPER, "a" * 26 + "9" * 10 + "A" * 26)
+    plain = F.regexp_replace(F.regexp_replace(plain, r"\s", " "), r"(.)\1+", "$1")
+    plain = F.regexp_replace(plain, r"(?<![aA9])[aA9]*?(?:[aA]9|9[aA])[aA9]*", "x")
+    return F.regexp_replace(plain, r"(?<!\S)(\S+ )\1+", "$1")
+
+
 def _histograms(counts: DataFrame) -> DataFrame:
-    """``load_id, c, what, bin, n``: bounded histograms of nulls, forms, lengths, numbers."""
+    """``load_id, c, what, bin, n``: histograms of nulls, forms, lengths, numbers.
+
+    Of texts there are ``form``, how they start, ``format``, what they are as a whole, ``classes``, the kinds of characters in
+    that, and the exact length. Formats of free texts are hardly ever alike; there the others tell.
+    """
     null = F.col("key").isNull()
+    counts = counts.withColumn("format", _format(F.col("t")))
     bins = {
         "null": F.when(null, "1").otherwise("0"),
-        "form": F.when(F.col("form").isNotNull(), F.substring("form", 6, 28)),
-        "length": F.when(F.col("form").isNotNull(), F.substring("form", 1, 4)),
+        "form": _start(F.col("t")),
+        "format": F.when(F.length("format") > 48, F.xxhash64("format").cast("string")).otherwise(F.col("format")),
+        "classes": F.array_join(F.array_sort(F.array_distinct(F.split("format", ""))), ""),
+        "length": F.lpad(F.length("t").cast("string"), 10, "0"),
         "number": F.when(F.col("x").isNotNull(), F.lpad((_number_bin(F.col("x")) + 5000).cast("string"), 5, "0")),
     }
     pieces = F.array(*(F.struct(F.lit(w).alias("what"), b.alias("bin")) for w, b in bins.items()))
@@ -240,7 +260,7 @@ def _tests(work: Workspace, counts: DataFrame, following: DataFrame) -> DataFram
     p = (F.col("a") + F.col("b")) / (F.col("na") + F.col("nb"))
     spread = F.sqrt(p * (1 - p) * (1 / F.col("na") + 1 / F.col("nb")))
     # total variation of forms and of nulls, beside what chance explains
-    tv = pairs.where("what in ('form', 'null')").groupBy("load_id", "c", "what").agg(F.sum(F.abs(pa - pb) / 2).alias("effect"), F.sum(spread * 0.3989).alias("chance"))
+    tv = pairs.where("what in ('form', 'format', 'classes', 'null')").groupBy("load_id", "c", "what").agg(F.sum(F.abs(pa - pb) / 2).alias("effect"), F.sum(spread * 0.3989).alias("chance"))
     tv = tv.select("load_id", "c", F.col("what").alias("test"), "effect", F.when(F.col("effect") > 0, F.col("effect") / F.greatest("chance", F.lit(1e-9))).otherwise(0.0).alias("z"))
     # greatest distance of the cumulative distributions of numbers and lengths
     upto = W.partitionBy("load_id", "c", "what").orderBy("bin").rowsBetween(W.unboundedPreceding, 0)
@@ -299,7 +319,7 @@ def changed_columns(
     differs = (
         F.when(F.col("test").isin("value", "most"), beyond(limits.share, limits.share_z))
         .when(F.col("test") == "null", beyond(limits.share, limits.null_z))
-        .when(F.col("test") == "form", beyond(limits.form, limits.form_z) & (F.col("z") >= limits.usual * F.col("median_z")))
+        .when(F.col("test").isin("form", "format", "classes"), beyond(limits.form, limits.form_z) & (F.col("z") >= limits.usual * F.col("median_z")))
         .otherwise(beyond(limits.curve, limits.curve_z) | beyond(limits.slight, limits.slight_z))
     )
     tests = tests.join(usual, ["c", "test"]).where(differs & (F.col("effect") >= limits.usual * F.col("median")))

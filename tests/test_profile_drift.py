@@ -75,3 +75,20 @@ def test_range_and_malformed_values_of_text(spark):
     assert (got["2", "b"].least_text, got["2", "b"].malformed) == (None, None)
     whole = {r.column_name: r for r in metrics(store.read(), store.names, per_load=False).collect()}
     assert (whole["a"].least_text, whole["a"].greatest_text, whole["a"].malformed, whole["a"].nulls) == ("0000-1", "?", 2, 1)
+
+
+def found_in(spark, make, loads=8, n=200):
+    """Column ``a`` of loads whose values ``make(load, i)`` gives: the loads where it changes."""
+    df = spark.createDataFrame([row(str(k), a=make(k, i)) for k in range(loads) for i in range(n)], SCHEMA)
+    store = ValueCounts(spark)
+    store.apply(df)
+    return {x.load_id for x in changed_columns(spark, store, loads_in_order(df)).collect() if x.column_name == "a"}
+
+
+def test_formats_are_those_of_whole_texts(spark):
+    r = random.Random(5)
+    digest = lambda: f"{r.getrandbits(256):064x}"
+    assert found_in(spark, lambda k, i: digest() + "f" * 15 * (k == 5)) == {"5", "6"}  # 64 and 79 characters
+    assert found_in(spark, lambda k, i: digest()[:32] + "*" * 32 if k == 5 else digest()) == {"5", "6"}
+    assert found_in(spark, lambda k, i: "".join(r.choices("abcdef" if k == 5 else "0123456789", k=12))) == {"5", "6"}
+    assert found_in(spark, lambda k, i: digest()) == set()
