@@ -281,8 +281,11 @@ def _tests(work: Workspace, counts: DataFrame, following: DataFrame) -> DataFram
     wholes = _beside(sums.withColumnRenamed("whole", "n"), following, ["c"]).select("load_id", "c", F.col("a").alias("na"), F.col("b").alias("nb")).where("na > 0 and nb > 0")
     several = held.groupBy("c", "key").agg(F.count(F.lit(1)).alias("loads")).where("loads > 1").select("c", "key")
     apart = F.abs(pa - pb)
-    shares = shares.join(several, ["c", "key"], "left_semi").join(wholes, ["load_id", "c"]).select("load_id", "c", apart.alias("effect"), (apart / F.greatest(spread, F.lit(1e-9))).alias("z"))
-    top = shares.groupBy("load_id", "c").agg(F.max(F.struct("effect", "z")).alias("m")).select("load_id", "c", F.lit("value").alias("test"), F.col("m.effect").alias("effect"), F.col("m.z").alias("z"))
+    shares = shares.join(wholes, ["load_id", "c"]).join(several.withColumn("several", F.lit(True)), ["c", "key"], "left")
+    # a value that one of the two loads lacks is a test of its own, with what is usual of such values; a column's loads may have values of their own
+    kinds = F.array(F.when(F.col("several"), F.lit("value")), F.when((F.col("a") == 0) | (F.col("b") == 0), F.lit("fresh")))
+    shares = shares.select("load_id", "c", F.explode(kinds).alias("test"), apart.alias("effect"), (apart / F.greatest(spread, F.lit(1e-9))).alias("z")).where("test is not null")
+    top = shares.groupBy("load_id", "c", "test").agg(F.max(F.struct("effect", "z")).alias("m")).select("load_id", "c", "test", F.col("m.effect").alias("effect"), F.col("m.z").alias("z"))
     # the share of the most frequent value, whichever it is
     most = sums.join(held.groupBy("load_id", "c").agg(F.max("n").alias("n")), ["load_id", "c"], "left").select("load_id", "c", F.coalesce("n", F.lit(0)).alias("n"))
     most = _beside(most, following, ["c"]).join(wholes, ["load_id", "c"])
@@ -317,7 +320,7 @@ def changed_columns(
     usual = usual.select("c", "test", middle("steps").alias("median"), middle("z_steps").alias("median_z"))
     beyond = lambda least, z: (F.col("effect") >= least) & (F.col("z") >= z)
     differs = (
-        F.when(F.col("test").isin("value", "most"), beyond(limits.share, limits.share_z))
+        F.when(F.col("test").isin("value", "fresh", "most"), beyond(limits.share, limits.share_z))
         .when(F.col("test") == "null", beyond(limits.share, limits.null_z))
         .when(F.col("test").isin("form", "format", "classes"), beyond(limits.form, limits.form_z) & (F.col("z") >= limits.usual * F.col("median_z")))
         .otherwise(beyond(limits.curve, limits.curve_z) | beyond(limits.slight, limits.slight_z))
@@ -325,4 +328,4 @@ def changed_columns(
     tests = tests.join(usual, ["c", "test"]).where(differs & (F.col("effect") >= limits.usual * F.col("median")))
     name = F.element_at(F.array(*map(F.lit, names)), F.col("c") + 1)
     found = tests.select(name.alias("column_name"), "load_id", "test", "effect", "z")
-    return found.where(~(F.col("column_name").isin(*moving) & F.col("test").isin("number", "value", "most"))) if moving else found
+    return found.where(~(F.col("column_name").isin(*moving) & F.col("test").isin("number", "value", "fresh", "most"))) if moving else found

@@ -92,3 +92,13 @@ def test_formats_are_those_of_whole_texts(spark):
     assert found_in(spark, lambda k, i: digest()[:32] + "*" * 32 if k == 5 else digest()) == {"5", "6"}
     assert found_in(spark, lambda k, i: "".join(r.choices("abcdef" if k == 5 else "0123456789", k=12))) == {"5", "6"}
     assert found_in(spark, lambda k, i: digest()) == set()
+
+
+def test_values_of_a_single_load(spark):
+    def verdict(k, i):
+        return "SKIP" if k == 5 and i % 10 == 0 else ("PASS" if i % 10 < 6 else "WARN" if i % 10 < 9 else "FAIL")
+
+    assert found_in(spark, verdict, n=400) == {"5", "6"}
+    assert found_in(spark, lambda k, i: verdict(k - 2, i), n=400) == {"7"}  # in the last load
+    assert found_in(spark, lambda k, i: "two" if k == 4 else "one") == {"4", "5"}
+    assert found_in(spark, lambda k, i: f"run-{k}-{i % 5}") == set()  # every load has its own
