@@ -142,8 +142,8 @@ def sequence_result(df: DataFrame, key: str, sequence: str, order: str, check_id
     return _result(broken, check_id, sequence, "ordering", "each one more than the one before")
 
 
-def required_result(df: DataFrame, fields: list[str], order: str, first: int | None = 200) -> DataFrame:
-    """Nulls in required fields among the ``first`` rows in ``order`` (None: all rows), one ERROR row for each field with any."""
+def required_result(df: DataFrame, fields: list[str], order: str, first: int | None = None) -> DataFrame:
+    """Nulls in required fields of all rows, or among the ``first`` so many in ``order``, one ERROR row for each field with any."""
     rows = df if first is None else df.orderBy(order).limit(first)
     return run_checks(rows, [Clause(f"runner.schema.required.{f}", f, "required_field", F.col(f).isNull(), "present", failing="ERROR", only_failing=True) for f in fields])
 

@@ -102,6 +102,12 @@ def required_fields(spark: SparkSession, folder: str) -> DataFrame:
     return datasets.required_result(df, df.columns, "delivery_id", first=None).select(*_SHOWN)
 
 
+def required_fields_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """All rows of runs; :func:`required_fields_first_200` is what the first rows alone show."""
+    df = table(spark, folder, "runs")
+    return datasets.required_result(df, df.columns, "id").select(*_SHOWN)
+
+
 def required_fields_first_200(spark: SparkSession, folder: str) -> DataFrame:
     df = table(spark, folder, "runs")
     return datasets.required_result(df, df.columns, "id", first=200).select(*_SHOWN)

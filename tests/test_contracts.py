@@ -274,3 +274,12 @@ def test_documents_and_command_line(spark, tmp_path):
     assert documents.read_schema_version(str(tmp_path / "w"), documents.schema_versions(str(tmp_path / "w"))[0])["a"] == {"type": "integer", "required": True, "minimum": 1.0, "maximum": 5.0}
     assert documents.latest_document(str(tmp_path), "c.js*n")[0]["id"] == "c" and documents.latest_document(str(tmp_path), "zz*") == (None, None)
     assert ("c.json",) in rows(documents.file_inventory(spark, str(tmp_path)))
+
+
+def test_required_fields_of_all_rows(spark, tmp_path):
+    from millrace.plans.registry import queries
+
+    df = spark.range(1000).selectExpr("cast(id as string) id", "if(id = 999, null, 'x') name")
+    assert [(r.check_id, r.records_failing) for r in datasets.required_result(df, df.columns, "id").collect()] == [("runner.schema.required.name", 1)]
+    df.write.parquet(f"{tmp_path}/runs.parquet")
+    assert [r.records_failing for r in queries()["required_fields_runs"](spark, str(tmp_path)).collect()] == [1]
