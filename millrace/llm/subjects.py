@@ -5,15 +5,17 @@ belong to any area belong to it. So the model scores sentences, and is trained i
 
 1. On the labelled documents. At first each sentence is to score as its document; then the scores decide
    which of its sentences carry the named areas and which carry none.
-2. On these and a bounded sample of unlabelled documents, which the first model has labelled: words that no
+2. On these and all unlabelled documents, which the first model has labelled: words that no
    labelled document has are learned from the company they keep.
 
 Each round sums the gradients of all partitions on one shard of the sentences and takes one step on the
-driver; what is sent is the model and one gradient for each partition, whatever the size of the corpus. Every document is scored.
+driver; what is sent is the model and one gradient for each partition. With the corpus the shards grow in number, not in
+size, and every stage takes each shard once at least. Every document is scored.
 """
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -33,7 +35,9 @@ OTHER = "other"
 
 @dataclass(frozen=True)
 class Training:
-    """Bounds and settings of a fit. At most about ``labelled`` and ``unlabelled`` documents are learned from.
+    """Settings of a fit. At most about ``labelled`` labelled documents are learned from, and all others.
+
+    For every ``unlabelled`` documents without labels there are ``shards`` shards; labelled ones weigh against so many of them.
 
     A document counts as much as it has sentences, but no more than ``weighed`` of them, so that a very long one
     does not outweigh all others; all its sentences are learned from.
@@ -66,23 +70,25 @@ def _sample(df: DataFrame, most: int) -> DataFrame:
     return df.where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 30)) < F.lit(int((1 << 30) * most / there)))
 
 
-def _learnable(docs: DataFrame, how: Training) -> DataFrame:
-    """``shard, rows, named, weight``: the sentences of ``doc_id, text, named`` as table rows."""
-    shards, weighed = how.shards, how.weighed
+def _learnable(docs: DataFrame, how: Training, shards: int) -> DataFrame:
+    """``shard, rows, named, weight``: the sentences of ``doc_id, text, named, counts`` as table rows."""
+    weighed = how.weighed
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         features: sm.Features = _once("features", sm.Features)  # type: ignore[assignment]
         for b in batches:
             out = []
-            for text, named in zip(b["text"], b["named"], strict=True):
+            for text, named, counts, at in zip(b["text"], b["named"], b["counts"], b["at"], strict=True):
                 if len(features.rows) > features.most:
                     features.clear()
                 parts = sm.sentences(text)
-                weight = min(1.0, weighed / max(1, len(parts)))
-                out += [(i % shards, features.sentence_rows(w), np.asarray(named, np.float32), weight) for i, w in enumerate(parts)]
+                weight = counts * min(1.0, weighed / max(1, len(parts)))
+                out += [((at + i) % shards, features.sentence_rows(w), np.asarray(named, np.float32), weight) for i, w in enumerate(parts)]
             yield pd.DataFrame(out, columns=["shard", "rows", "named", "weight"])
 
-    return docs.mapInPandas(cut, "shard int, rows array<int>, named array<float>, weight float")
+    # a document's sentences go to shards in turn, from a place of its own where it may have fewer than there are shards
+    at = F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(shards)) if shards > how.shards else F.lit(0)
+    return docs.select("text", "named", "counts", at.cast("int").alias("at")).mapInPandas(cut, "shard int, rows array<int>, named array<float>, weight float")
 
 
 def _fit(spark: SparkSession, tables: list[DataFrame], areas: int, how: Training) -> sm.Model:
@@ -92,7 +98,7 @@ def _fit(spark: SparkSession, tables: list[DataFrame], areas: int, how: Training
         adam = sm.Adam(model, how.rate)
         if stage:
             before = sm.Model(*(x.copy() for x in model.parts()))
-        for k in range(rounds):
+        for k in range(max(rounds, len(tables))):
             sent = sc.broadcast((model, before))
 
             def shard_gradient(batches: Iterator[pd.DataFrame], sent=sent, stage=stage) -> Iterator[pd.DataFrame]:
@@ -110,7 +116,7 @@ def _fit(spark: SparkSession, tables: list[DataFrame], areas: int, how: Training
                     ids = np.flatnonzero(total[0].any(axis=1)).astype(np.int32)
                     yield pd.DataFrame([(weight, ids.tobytes(), total[0][ids].tobytes(), total[1].tobytes(), total[2].tobytes())], columns=["weight", "ids", "t", "o", "b"])
 
-            parts = tables[k % how.shards].mapInPandas(shard_gradient, "weight double, ids binary, t binary, o binary, b binary").collect()
+            parts = tables[k % len(tables)].mapInPandas(shard_gradient, "weight double, ids binary, t binary, o binary, b binary").collect()
             sent.destroy()
             if not parts:
                 continue
@@ -153,23 +159,26 @@ def fit_subjects(spark: SparkSession, documents: DataFrame, labels: DataFrame, a
     vector = F.array(*(F.array_contains("subjects", a).cast("float") for a in areas))
     taught = documents.join(named.select("doc_id", vector.alias("named")), "doc_id").where(F.length("text") > 0)
 
-    def tables(work: Workspace, docs: DataFrame) -> list[DataFrame]:
+    def tables(work: Workspace, docs: DataFrame, shards: int = how.shards) -> list[DataFrame]:
         path = f"{work.path}/sentences"
-        _learnable(docs.repartition(how.partitions, "doc_id"), how).write.partitionBy("shard").mode("overwrite").parquet(path)
+        _learnable(docs.repartition(how.partitions, "doc_id"), how, shards).write.partitionBy("shard").mode("overwrite").parquet(path)
         schema = "rows array<int>, named array<float>, weight float, shard int"
         one = spark.read.schema(schema).parquet(path)
-        return [one.where(F.col("shard") == s).coalesce(how.partitions) for s in range(how.shards)]
+        return [one.where(F.col("shard") == s).coalesce(how.partitions) for s in range(shards)]
 
     work = Workspace(spark, "subjects")
     taught = work.write(taught, "taught")
-    model = _fit(spark, tables(work, taught), len(areas), how)
+    plain = F.lit(1.0).alias("counts")
+    model = _fit(spark, tables(work, taught.select("*", plain)), len(areas), how)
     if how.unlabelled:
-        rest = _sample(documents.where(F.length("text") > 0), how.unlabelled).join(taught.select("doc_id"), "doc_id", "left_anti")
-        guessed = work.write(score(spark, rest, model, ["doc_id", "text"]).unionByName(taught.select("doc_id", "text", "named")), "guessed")
+        rest = documents.where(F.length("text") > 0).join(taught.select("doc_id"), "doc_id", "left_anti")
+        parts = max(1.0, rest.count() / how.unlabelled)  # times a pass over ``unlabelled`` documents
+        guessed = score(spark, rest, model, ["doc_id", "text"]).select("*", plain)
+        both = guessed.unionByName(taught.select("doc_id", "text", "named", F.lit(parts).alias("counts")))
         more = Workspace(spark, "subjects")
-        model = _fit(spark, tables(more, guessed), len(areas), how)
+        model = _fit(spark, tables(more, both, math.ceil(how.shards * parts)), len(areas), how)
         more.drop("sentences")
-    for name in ("sentences", "taught", "guessed"):
+    for name in ("sentences", "taught"):
         work.drop(name)
     return model
 

@@ -112,3 +112,16 @@ def test_without_labels_or_documents(spark):
     how = Training(rounds=(1, 1, 1), partitions=1, shards=1)
     assert rows(subjects_of(spark, d, fit_subjects(spark, d, none, ["law"], how), ["law"])) == [(1, "other")]
     assert subjects_of(spark, d.where("false"), fit_subjects(spark, d.where("false"), none, ["law"], how), ["law"]).count() == 0
+
+
+def test_words_of_unlabelled_documents_are_all_learned(spark, monkeypatch):
+    """The second pass sees every document, however many there are."""
+    import millrace.llm.subjects as subjects
+
+    seen = []
+    fit = subjects._fit
+    monkeypatch.setattr(subjects, "_fit", lambda spark, tables, areas, how: seen.append([t.count() for t in tables]) or fit(spark, tables, areas, how))
+    d = spark.createDataFrame([(i, "Court judge. Goal match.") for i in range(100)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, "law") for i in range(10)], "doc_id bigint, subject string")
+    fit_subjects(spark, d, labels, ["law"], Training(unlabelled=30, rounds=(1, 1, 1), partitions=1, shards=1))
+    assert sum(seen[0]) == 20 and len(seen[1]) == 3 and sum(seen[1]) == 200 and min(seen[1]) > 20
