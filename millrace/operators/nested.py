@@ -18,10 +18,23 @@ def _element(schema: T.StructType, path: Sequence[str]) -> T.DataType:
     kind: T.DataType = schema
     for name in path:
         kind = kind[name].dataType  # type: ignore[index]
+        if isinstance(kind, T.MapType):
+            kind = T.StructType([T.StructField("key", kind.keyType), T.StructField("value", kind.valueType)])
         kind = kind.elementType if isinstance(kind, T.ArrayType) else kind
     return kind
 
 
+def _array(schema: T.StructType, path: Sequence[str], c: Column) -> Column:
+    """``c``, found at ``path``, as an array: of a map its entries."""
+    above = _element(schema, path[:-1])
+    return F.map_entries(c) if isinstance(above[path[-1]].dataType, T.MapType) else c  # type: ignore[index]
+
+
+def record_key() -> Column:
+    """Tells each record of a table read from Parquet from all others, repetitions of it too: its file and its row there."""
+    return F.concat_ws("#", F.col("_metadata.file_name"), F.col("_metadata.row_index").cast("string"))
+
+
 def flatten_table(
     df: DataFrame,
     path: Sequence[str],
@@ -32,6 +45,8 @@ def flatten_table(
 ) -> DataFrame:
     """The table of the elements of the array at ``path``, as ``["extracted_facts", "entity_refs"]``.
 
+    Where a map is on the path, its entries are the elements, with ``key`` and ``value``; their positions mean nothing.
+
     ``keys`` are columns of the record by output name. ``ancestors`` takes fields of the elements on the way:
     for level 0, the elements of the first array, ``{"fact_id": "fact_id"}`` (output name: field). Each level
     adds its position, from 0, as ``pos_<array>``. ``columns`` picks fields of the innermost struct (output
@@ -49,13 +64,13 @@ def flatten_table(
         def each(x: Column, i: Column) -> Column:
             here = [*carried, *(x[f].alias(o) for o, f in ancestors.get(depth, {}).items()), i.alias(f"pos_{path[depth]}")]
             if depth + 1 < len(path):
-                return level(depth + 1, x[path[depth + 1]], here)
+                return level(depth + 1, _array(df.schema, path[: depth + 2], x[path[depth + 1]]), here)
             last = [x[f].alias(o) for o, f in columns.items()] if isinstance(inner, T.StructType) else [x.alias(value)]
             return F.struct(*here, *last)
 
         return F.transform(array, each)
 
-    rows = level(0, F.col(path[0]), [c.alias(n) for n, c in keys.items()])
+    rows = level(0, _array(df.schema, path[:1], F.col(path[0])), [c.alias(n) for n, c in keys.items()])
     for _ in path[1:]:
         rows = F.flatten(F.filter(rows, lambda x: x.isNotNull()))
     names = [*keys, *(n for d in range(len(path)) for n in [*ancestors.get(d, {}), f"pos_{path[d]}"]), *(columns if isinstance(inner, T.StructType) else [value])]

@@ -83,6 +83,27 @@ p4_nodes = _flat("lineage_snapshots", ["nodes"], {"snapshot_id": "snapshot_id",
 p4_edges = _flat("lineage_snapshots", ["edges"], {"snapshot_id": "snapshot_id", "received_at": "received_at"})
 
 
+_SNAPSHOT = {"snapshot_id": "snapshot_id", "received_at": "received_at"}
+
+
+def _rows(name: str, path: list[str], keys: dict[str, str], **rest):
+    """A flat table with ``record``, which tells repeated rows of one id apart."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        columns = {"record": nested.record_key()} | {o: F.col(c) for o, c in keys.items()}
+        return nested.flatten_table(table(spark, folder, name), path, columns, **rest)
+
+    return run
+
+
+p4_fact_rows = _rows("extractions", ["extracted_facts"], _DOCUMENT)
+p4_entity_rows = _rows("extractions", ["entities"], _DOCUMENT)
+p4_fact_ref_rows = _rows("extractions", ["extracted_facts", "entity_refs"], _DOCUMENT, ancestors={0: {"fact_id": "fact_id"}}, value="entity_id")
+p4_node_rows = _rows("lineage_snapshots", ["nodes"], _SNAPSHOT)
+p4_edge_rows = _rows("lineage_snapshots", ["edges"], _SNAPSHOT)
+p4_node_metadata = _rows("lineage_snapshots", ["nodes", "metadata"], _SNAPSHOT, ancestors={0: {"node_id": "node_id"}})
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return node_changes(spark, table(spark, folder, "lineage_snapshots"))
 

@@ -33,3 +33,15 @@ def test_edges(spark):
     got = dangling_edges(df, {"record_id": F.col("snapshot_id")})
     assert rows(got) == sorted([("s", "a", "c"), ("s", "A", "b"), ("s", None, "q"), ("t", "a", "b")], key=repr)
     assert dangling_edges(df.where("false"), {"record_id": F.col("snapshot_id")}).count() == 0
+
+
+def test_maps_and_records(spark, tmp_path):
+    from millrace.plans.registry import queries
+
+    schema = "snapshot_id string, received_at timestamp, nodes array<struct<node_id:string,metadata:map<string,string>>>"
+    one = ("s", None, [("a", {"k": "1", "l": None}), ("b", None), None, ("c", {})])
+    spark.createDataFrame([one, one], schema).coalesce(1).write.parquet(f"{tmp_path}/lineage_snapshots.parquet")
+    got = queries()["p4_node_metadata"](spark, str(tmp_path))
+    assert rows(got, "snapshot_id", "pos_nodes", "node_id", "key", "value") == sorted([("s", 0, "a", "k", "1"), ("s", 0, "a", "l", None)] * 2, key=repr)
+    nodes = queries()["p4_node_rows"](spark, str(tmp_path)).select("record", "pos_nodes")
+    assert nodes.count() == nodes.distinct().count() == 8 and got.select("record").distinct().count() == 2
