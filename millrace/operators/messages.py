@@ -1,8 +1,8 @@
 """Exactly one copy of each message that was delivered at least once.
 
-Deliveries are upserted into a table hash-bucketed and sorted by identifier. Every batch adds one sorted
-run per bucket; compaction reads a bucket's runs together, without a shuffle, and collapses equal
-identifiers to the row with the lowest delivery number.
+Deliveries are upserted into a table hash-bucketed and sorted by identifier. Every batch, or group of batches, adds one
+sorted run per bucket, in which it alone is collapsed; compaction reads a bucket's runs together, without a shuffle,
+and collapses equal identifiers to the row with the lowest delivery number.
 """
 
 from __future__ import annotations
@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 from ..functions.text import blank_to_null, uuid_key
 from ..sources.shared import Workspace, numbered, remove
 
+#: A bucket holds about this many deliveries; batches that come together are put into this many runs.
+BUCKET_ROWS, RUNS = 1_000_000, 4
+
 
 def message_key(identifiers: Sequence[Column], qualifiers: Sequence[Column] = ()) -> Column:
     """One binary key of a message; null where its first identifier is null or blank.
@@ -75,6 +78,21 @@ class MessageStore:
         run = collapse(batch.where("message_key is not null"), self.order).repartition(self.buckets, "message_key")
         run.sortWithinPartitions("message_key").select("message_key", self.order).write.insertInto(self._table)
 
+    def upsert_batches(self, deliveries: DataFrame, batch: str = "batch_id", runs: int = RUNS) -> None:
+        """Upsert many batches in one pass: a batch goes whole into one of ``runs`` sorted runs per bucket.
+
+        A run is collapsed before it is shuffled to its bucket; copies in batches of different runs stay until they are merged.
+        """
+        runs_of = deliveries.where("message_key is not null").withColumn("run", F.pmod(F.xxhash64(batch), F.lit(runs)).cast("int"))
+        kept = runs_of.groupBy("run", "message_key").agg(F.min(self.order).alias(self.order))
+        bucket = F.pmod(F.hash("message_key"), F.lit(self.buckets))  # as the writer counts buckets
+        kept = kept.repartitionById(self.buckets * runs, (bucket * runs + F.col("run")).cast("int"))
+        kept.sortWithinPartitions("message_key").select("message_key", self.order).write.insertInto(self._table)
+
+    def runs(self) -> int:
+        """How many files the table holds: one for each bucket and run that is not empty."""
+        return len(self.spark.table(self._table).inputFiles())
+
     def read(self) -> DataFrame:
         """The kept deliveries, merged on read bucket by bucket: the bucketed scan needs no shuffle."""
         return collapse(self.spark.table(self._table), self.order)
@@ -91,13 +109,16 @@ class MessageStore:
         remove(self.spark, at)
 
 
-def survivors(spark: SparkSession, keyed: DataFrame, buckets: int | None = None) -> DataFrame:
-    """The kept ``(message_key, delivery_id)`` of a whole table, through a store of its own.
+def survivors(spark: SparkSession, keyed: DataFrame, batch: str = "batch_id", buckets: int | None = None) -> DataFrame:
+    """The kept ``(message_key, delivery_id)`` of a whole table, through a store of its own: upserted by batches, then compacted.
 
-    It has as many buckets as the session shuffles into, which is set by the size of the data.
+    The number of buckets follows the number of rows, so that one is a task's work at every size.
     """
-    store = MessageStore(spark, Workspace(spark, "messages").path, buckets or int(spark.conf.get("spark.sql.shuffle.partitions")))
-    store.upsert(keyed)
+    # a count without columns reads no more than the footers of the files
+    buckets = buckets or max(spark.sparkContext.defaultParallelism, keyed.count() // BUCKET_ROWS + 1)
+    store = MessageStore(spark, Workspace(spark, "messages").path, buckets)
+    store.upsert_batches(keyed, batch)
+    store.compact()
     return store.read()
 
 

@@ -39,7 +39,7 @@ def _keyed(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         "event_log": messages.message_key([F.col("event_id")]),
         "demo_blame": messages.message_key([F.col("violation_id")], [F.col("check_id")]),
     }
-    return {t: table(spark, folder, t).select(k.alias("message_key"), "delivery_id") for t, k in keys.items()}
+    return {t: table(spark, folder, t).select(k.alias("message_key"), "delivery_id", "batch_id") for t, k in keys.items()}
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -53,7 +53,7 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
 def p3_event_log_once(spark: SparkSession, folder: str) -> DataFrame:
     log = table(spark, folder, "event_log")
     key = messages.message_key([F.col("event_id")])
-    kept = messages.survivors(spark, log.select(key.alias("message_key"), "delivery_id"))
+    kept = messages.survivors(spark, log.select(key.alias("message_key"), "delivery_id", "batch_id"))
     once = messages.deduplicate(log, key, kept)
     return once.select("delivery_id", "batch_id", "event_id", "event_type", "aggregate_id", "sequence_number", "occurred_at", "recorded_at")
 
