@@ -96,12 +96,38 @@ def _rows(name: str, path: list[str], keys: dict[str, str], **rest):
     return run
 
 
+def _without(query, *columns: str):
+    return lambda spark, folder: query(spark, folder).drop(*columns)
+
+
 p4_fact_rows = _rows("extractions", ["extracted_facts"], _DOCUMENT)
-p4_entity_rows = _rows("extractions", ["entities"], _DOCUMENT)
-p4_fact_ref_rows = _rows("extractions", ["extracted_facts", "entity_refs"], _DOCUMENT, ancestors={0: {"fact_id": "fact_id"}}, value="entity_id")
-p4_node_rows = _rows("lineage_snapshots", ["nodes"], _SNAPSHOT)
-p4_edge_rows = _rows("lineage_snapshots", ["edges"], _SNAPSHOT)
-p4_node_metadata = _rows("lineage_snapshots", ["nodes", "metadata"], _SNAPSHOT, ancestors={0: {"node_id": "node_id"}})
+# the order of a map's entries means nothing
+p4_node_metadata = _without(_flat("lineage_snapshots", ["nodes", "metadata"], _SNAPSHOT, ancestors={0: {"node_id": "node_id"}}), "pos_metadata")
+
+
+_LOAD = {"load_id": "load_id", "verdict_id": "verdict_id"}
+_LOGGED = {"delivery_id": "delivery_id"}
+
+p4_scores = _without(_flat("verdicts", ["scores"], _LOAD), "pos_scores")
+p4_score_evidence = _without(_flat("verdicts", ["scores", "value.evidence"], _LOAD, ancestors={0: {"criterion": "key"}}, value="evidence"), "pos_scores")
+p4_blame_chain = _flat("demo_blame", ["blame_chain"], _LOGGED)
+p4_subscribers = _flat("demo_blame", ["blast_radius.subscribers"], _LOGGED)
+p4_subscriber_fields = _flat("demo_blame", ["blast_radius.subscribers", "fields_consumed"], _LOGGED, ancestors={0: {"subscriber_id": "subscriber_id"}}, value="field")
+p4_matched_fields = _flat("demo_blame", ["blast_radius.subscribers", "matched_breaking_fields"], _LOGGED, ancestors={0: {"subscriber_id": "subscriber_id"}})
+
+
+def p4_records(spark: SparkSession, folder: str) -> DataFrame:
+    """The extractions themselves, as the flat tables of their parts refer to them."""
+    return nested.record_table(table(spark, folder, "extractions")).drop("record")
+
+
+def p4_record_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """How many facts, entities and references lead back to each record of extractions, by the key of the record."""
+    parts = nested.related_tables(table(spark, folder, "extractions"))
+    counts = parts["records"].select("record", "load_id", "doc_id")
+    for name, path in (("facts", "extracted_facts"), ("entities", "entities"), ("refs", "extracted_facts.entity_refs")):
+        counts = counts.join(parts[path].groupBy("record").agg(F.count(F.lit(1)).alias(name)), "record", "left")
+    return counts.select("load_id", "doc_id", *(F.coalesce(n, F.lit(0)).alias(n) for n in ("facts", "entities", "refs")))
 
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:

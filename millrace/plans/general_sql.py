@@ -96,6 +96,37 @@ FROM (SELECT snapshot_id, received_at, unnest(nodes) AS f, generate_subscripts(n
     "p4_edges": """
 SELECT snapshot_id, received_at, CAST(i - 1 AS INTEGER) AS pos_edges, f.source AS source, f.target AS target, f.relationship AS relationship, f.confidence AS confidence
 FROM (SELECT snapshot_id, received_at, unnest(edges) AS f, generate_subscripts(edges, 1) AS i FROM lineage_snapshots) x""",
+    "p4_node_metadata": """
+SELECT snapshot_id, received_at, CAST(i - 1 AS INTEGER) AS pos_nodes, node_id, e.key AS key, e.value AS value
+FROM (SELECT snapshot_id, received_at, i, f.node_id AS node_id, unnest(map_entries(f.metadata)) AS e
+      FROM (SELECT snapshot_id, received_at, unnest(nodes) AS f, generate_subscripts(nodes, 1) AS i FROM lineage_snapshots) x) y""",
+    "p4_scores": """
+SELECT load_id, verdict_id, e.key AS key, e.value.score AS value_score, e.value.notes AS value_notes
+FROM (SELECT load_id, verdict_id, unnest(map_entries(scores)) AS e FROM verdicts) x""",
+    "p4_score_evidence": """
+SELECT load_id, verdict_id, criterion, CAST(j - 1 AS INTEGER) AS pos_value_evidence, evidence
+FROM (SELECT load_id, verdict_id, e.key AS criterion, unnest(e.value.evidence) AS evidence, generate_subscripts(e.value.evidence, 1) AS j
+      FROM (SELECT load_id, verdict_id, unnest(map_entries(scores)) AS e FROM verdicts) x) y""",
+    "p4_records": """
+SELECT load_id, loaded_at, doc_id, source_path, source_hash, extraction_model, processing_time_ms, token_count.input AS token_count_input, token_count.output AS token_count_output, extracted_at FROM extractions""",
+    "p4_record_parts": """
+SELECT load_id, doc_id, CAST(coalesce(len(extracted_facts), 0) AS BIGINT) AS facts, CAST(coalesce(len(entities), 0) AS BIGINT) AS entities,
+       CAST(coalesce(list_sum([coalesce(len(f.entity_refs), 0) for f in extracted_facts]), 0) AS BIGINT) AS refs FROM extractions""",
+    "p4_blame_chain": """
+SELECT delivery_id, CAST(i - 1 AS INTEGER) AS pos_blame_chain, f.rank AS rank, f.file_path AS file_path, f.commit_hash AS commit_hash, f.author AS author,
+       f.commit_timestamp AS commit_timestamp, f.commit_message AS commit_message, f.confidence_score AS confidence_score
+FROM (SELECT delivery_id, unnest(blame_chain) AS f, generate_subscripts(blame_chain, 1) AS i FROM demo_blame) x""",
+    "p4_subscribers": """
+SELECT delivery_id, CAST(i - 1 AS INTEGER) AS pos_blast_radius_subscribers, f.subscriber_id AS subscriber_id, f.subscriber_team AS subscriber_team, f.validation_mode AS validation_mode, f.contact AS contact
+FROM (SELECT delivery_id, unnest(blast_radius.subscribers) AS f, generate_subscripts(blast_radius.subscribers, 1) AS i FROM demo_blame) x""",
+    "p4_subscriber_fields": """
+SELECT delivery_id, subscriber_id, CAST(i - 1 AS INTEGER) AS pos_blast_radius_subscribers, CAST(j - 1 AS INTEGER) AS pos_fields_consumed, field
+FROM (SELECT delivery_id, f.subscriber_id AS subscriber_id, i, unnest(f.fields_consumed) AS field, generate_subscripts(f.fields_consumed, 1) AS j
+      FROM (SELECT delivery_id, unnest(blast_radius.subscribers) AS f, generate_subscripts(blast_radius.subscribers, 1) AS i FROM demo_blame) x) y""",
+    "p4_matched_fields": """
+SELECT delivery_id, subscriber_id, CAST(i - 1 AS INTEGER) AS pos_blast_radius_subscribers, CAST(j - 1 AS INTEGER) AS pos_matched_breaking_fields, m.field AS field, m.reason AS reason
+FROM (SELECT delivery_id, f.subscriber_id AS subscriber_id, i, unnest(f.matched_breaking_fields) AS m, generate_subscripts(f.matched_breaking_fields, 1) AS j
+      FROM (SELECT delivery_id, unnest(blast_radius.subscribers) AS f, generate_subscripts(blast_radius.subscribers, 1) AS i FROM demo_blame) x) y""",
     "p6_found": f"""
 WITH first AS (
   SELECT snapshot_id, min(codebase_root) AS root, min(coalesce({instant_sql("captured_at")}, epoch_us(received_at))) AS seen FROM lineage_snapshots GROUP BY 1),

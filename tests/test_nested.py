@@ -4,7 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from millrace.operators.nested import dangling_edges, dangling_within, flatten_table
+from millrace.operators.nested import dangling_edges, dangling_within, flatten_table, record_table, related_tables
 
 FACTS = "doc_id string, extracted_facts array<struct<fact_id:string,entity_refs:array<string>>>, entities array<struct<entity_id:string>>"
 SNAP = "snapshot_id string, nodes array<struct<node_id:string>>, edges array<struct<source:string,target:string>>"
@@ -36,12 +36,22 @@ def test_edges(spark):
 
 
 def test_maps_and_records(spark, tmp_path):
-    from millrace.plans.registry import queries
-
-    schema = "snapshot_id string, received_at timestamp, nodes array<struct<node_id:string,metadata:map<string,string>>>"
-    one = ("s", None, [("a", {"k": "1", "l": None}), ("b", None), None, ("c", {})])
-    spark.createDataFrame([one, one], schema).coalesce(1).write.parquet(f"{tmp_path}/lineage_snapshots.parquet")
-    got = queries()["p4_node_metadata"](spark, str(tmp_path))
-    assert rows(got, "snapshot_id", "pos_nodes", "node_id", "key", "value") == sorted([("s", 0, "a", "k", "1"), ("s", 0, "a", "l", None)] * 2, key=repr)
-    nodes = queries()["p4_node_rows"](spark, str(tmp_path)).select("record", "pos_nodes")
-    assert nodes.count() == nodes.distinct().count() == 8 and got.select("record").distinct().count() == 2
+    schema = "snapshot_id string, received_at timestamp, nodes array<struct<node_id:string,place:struct<root:string,at:struct<line:int>>,metadata:map<string,string>>>"
+    one = ("s", None, [("a", ("r", (1,)), {"k": "1", "l": None}), ("b", None, None), None, ("c", ("q", None), {})])
+    spark.createDataFrame([one, one], schema).coalesce(1).write.parquet(f"{tmp_path}/t.parquet")
+    parts = related_tables(spark.read.parquet(f"{tmp_path}/t.parquet"))
+    assert sorted(parts) == ["nodes", "nodes.metadata", "records"]
+    got = parts["nodes.metadata"]
+    assert rows(got, "pos_nodes", "key", "value") == sorted([(0, "k", "1"), (0, "l", None)] * 2, key=repr)
+    nodes = parts["nodes"]
+    assert rows(nodes, "node_id", "place_root", "place_at_line") == sorted([("a", "r", 1), ("b", None, None), (None, None, None), ("c", "q", None)] * 2, key=repr)
+    assert nodes.select("record", "pos_nodes").distinct().count() == nodes.count() == 8 and got.select("record").distinct().count() == 2
+    assert parts["records"].join(nodes, "record").count() == 8
+
+
+def test_steps_through_structs_and_names_that_meet(spark):
+    df = spark.createDataFrame([(1, (2, [("a", [("f", "r")])])), (2, None)], "id int, b struct<depth:int,subs:array<struct<name:string,hits:array<struct<field:string,reason:string>>>>>")
+    hits = flatten_table(df, ["b.subs", "hits"], {"id": F.col("id")}, {0: {"name": "name"}})
+    assert rows(hits) == [(1, "a", 0, 0, "f", "r")]
+    with pytest.raises(ValueError):
+        record_table(spark.createDataFrame([(1, (2,))], "a_b int, a struct<b:int>"))
