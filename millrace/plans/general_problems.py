@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import late_events, messages, nested, profile_drift, schema_drift
-from ..operators.hierarchy import hierarchy
+from ..operators.hierarchy import descendants_of, endless_nodes, hierarchy
 from ..operators.snapshots import node_changes
 from ..sources.shared import Workspace
 from ..sources.tables import table
@@ -21,19 +21,30 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     return changed.select("aggregate_id", F.date_format("period_day", "yyyy-MM-dd").alias("period_day"))
 
 
+def _tree(spark: SparkSession, folder: str, paths: bool) -> DataFrame:
+    return hierarchy(spark, table(spark, folder, "runs"), "id", "parent_run_id", paths)
+
+
 def p2_hierarchy(spark: SparkSession, folder: str) -> DataFrame:
-    return hierarchy(spark, table(spark, folder, "runs"), "id", "parent_run_id")
+    """Every run with its root, depth and number of descendants, and whether its parentage goes round in a ring."""
+    return _tree(spark, folder, paths=False).select("id", "parent", "root", "depth", "descendants", "endless")
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
-    return p2_hierarchy(spark, folder).where("endless").select("id")
+    return endless_nodes(spark, table(spark, folder, "runs"), "id", "parent_run_id")
 
 
 def p2_paths(spark: SparkSession, folder: str) -> DataFrame:
-    tree = p2_hierarchy(spark, folder).where("not endless")
+    tree = _tree(spark, folder, paths=True).where("not endless")
     return tree.select("id", "parent", "root", "depth", F.concat_ws("/", "path").alias("path"), "descendants")
 
 
+def p2_descendants(spark: SparkSession, folder: str) -> DataFrame:
+    """All descendants of every run."""
+    tree = Workspace(spark, "tree").write(_tree(spark, folder, paths=False), "tree")
+    return descendants_of(tree)
+
+
 def _keyed(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     keys = {
         "event_log": messages.message_key([F.col("event_id")]),

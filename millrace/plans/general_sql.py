@@ -66,6 +66,11 @@ SQL = {
     "p1_periods": _PERIODS,
     "p1_found": f"SELECT aggregate_id, strftime(period_day, '%Y-%m-%d') AS period_day FROM ({_PERIODS}) p WHERE events <> first_events",
     "p2_found": f"{_NODES} SELECT id FROM nodes WHERE id NOT IN (SELECT id FROM tree)",
+    "p2_hierarchy": f"""{_NODES}, below AS (SELECT a AS id, count(*) - 1 AS n FROM (SELECT unnest(path) AS a FROM tree) p GROUP BY a)
+SELECT n.id, n.parent, t.root, t.depth, CAST(b.n AS BIGINT) AS descendants, t.id IS NULL AS endless
+FROM nodes n LEFT JOIN tree t ON t.id = n.id LEFT JOIN below b ON b.id = n.id""",
+    "p2_descendants": f"""{_NODES}
+SELECT id, descendant FROM (SELECT unnest(path) AS id, id AS descendant FROM tree) p WHERE id <> descendant""",
     "p2_paths": f"""{_NODES}, below AS (SELECT a AS id, count(*) - 1 AS n FROM (SELECT unnest(path) AS a FROM tree) p GROUP BY a)
 SELECT t.id, t.parent, t.root, t.depth, array_to_string(t.path, '/') AS path, CAST(b.n AS BIGINT) AS descendants FROM tree t JOIN below b ON b.id = t.id""",
     "p3_found": f"""SELECT table_name, delivery_id FROM (
