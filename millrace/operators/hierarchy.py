@@ -69,7 +69,7 @@ def _settle(work: Workspace, nodes: DataFrame) -> DataFrame:
         open_ = last.where("up is not null").select("n", "up", "depth", "size")
         gain = open_.groupBy(F.col("up").alias("n")).agg(F.sum("size").alias("gain"))
         ahead = open_.select(F.col("n").alias("up"), F.col("up").alias("up2"), _long(None).alias("root"), F.col("depth").alias("more"))
-        settled = work.together(rounds).where("root is not null")
+        settled = work.together(rounds, last).where("root is not null")
         ahead = ahead.unionByName(settled.select(F.col("n").alias("up"), _long(None).alias("up2"), "root", F.col("depth").alias("more")))
         moved = look_up(open_, ahead, "up", left, _n()).select("n", F.col("up2").alias("up"), "root", (F.col("depth") + F.col("more")).alias("depth"), "size")
         grown = moved.join(gain, "n", "left").withColumn("size", F.col("size") + F.coalesce("gain", _long(0))).withColumn("gain", _long(None))
@@ -79,7 +79,7 @@ def _settle(work: Workspace, nodes: DataFrame) -> DataFrame:
         if now == left:
             break
         left = now
-    found = work.together(rounds)
+    found = work.together(rounds, last)
     gains = found.where("gain is not null").groupBy("n").agg(F.sum("gain").alias("gain"))
     sized = found.where("root is not null").drop("gain").join(gains, "n", "left").select("n", "root", "depth", (1 + F.coalesce("gain", _long(0))).alias("size"))
     return work.write(sized.join(nodes.select("n", "parent"), "n"), "trees")
@@ -120,15 +120,15 @@ def _chains(work: Workspace, nodes: DataFrame) -> DataFrame:
     last, rounds = work.write(start, "chains-0"), ["chains-0"]
     while True:
         open_ = last.where("up is not null")
-        if not open_.limit(1).count():
+        if open_.isEmpty():
             break
         ahead = open_.select(F.col("n").alias("up"), F.col("up").alias("up2"), _long(None).alias("head2"), F.col("seat").alias("more"))
-        seated = work.together(rounds).where("head is not null")
+        seated = work.together(rounds, last).where("head is not null")
         ahead = ahead.unionByName(seated.select(F.col("n").alias("up"), _long(None).alias("up2"), F.col("head").alias("head2"), F.col("seat").alias("more")))
         moved = open_.select("n", "up", "seat").join(ahead, "up").select("n", F.col("up2").alias("up"), F.col("head2").alias("head"), (F.col("seat") + F.col("more")).alias("seat"))
         rounds.append(f"chains-{len(rounds)}")
         last = work.write(moved, rounds[-1])
-    return work.together(rounds).where("head is not null").select("n", "head", "seat")
+    return work.together(rounds, last).where("head is not null").select("n", "head", "seat")
 
 
 def hierarchy(spark: SparkSession, df: DataFrame, id_column: str, parent_column: str, paths: bool = True) -> DataFrame:
@@ -164,9 +164,9 @@ def hierarchy(spark: SparkSession, df: DataFrame, id_column: str, parent_column:
         )
         levels.append(f"level-{len(levels)}")
         level = work.write(below, levels[-1])
-        if not level.limit(1).count():
+        if level.isEmpty():
             break
-    placed = work.together(levels)
+    placed = work.together(levels, level)
     placed = placed.join(segments, "head") if paths else placed.withColumn("segment", none)
     tree = look_up(nodes, placed, "head", rows, _n())
     path = [F.transform(F.concat("prefix", F.slice("segment", F.lit(1), F.col("seat").cast("int") + 1)), unpacked_id).alias("path")] if paths else []

@@ -76,10 +76,9 @@ class Workspace:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def together(self, names: list[str]) -> DataFrame:
-        """Written tables of one schema read by a single scan."""
-        paths = [f"{self.path}/{n}" for n in names]
-        return self.spark.read.schema(self.spark.read.parquet(paths[0]).schema).parquet(*paths)
+    def together(self, names: list[str], like: DataFrame) -> DataFrame:
+        """Written tables of the schema of ``like``, read by a single scan."""
+        return self.spark.read.schema(like.schema).parquet(*(f"{self.path}/{n}" for n in names))
 
     def drop(self, name: str) -> None:
         remove(self.spark, f"{self.path}/{name}")
