@@ -5,21 +5,25 @@ often each value of each column came in each load. Counts are signed, so a load
 its delta. Exact metrics - nulls, distinct values, range, mean, entropy - and the histograms that loads are
 compared by are derived from the counts, never from the records again.
 
-A value is kept as it is, its text or its number, with a 64-bit hash by which it is looked up.
+A value is kept as it is, its text or its number, with a 64-bit hash by which it is looked up. Every load has a signed delta of its
+own, and the table stays in its folder, so that a later session goes on from it.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.shared import Workspace
+from ..sources.shared import Workspace, numbered, remove
 
 _ENTRY = "array<struct<c:int,t:string,x:double>>"
+_COUNTS = ["load_id", "c", "key", "t", "x", "n"]
+_COUNT_SCHEMA = "load_id string, c int, key bigint, t string, x double, n bigint"
 _LOWER, _UPPER = "abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -27,10 +31,10 @@ _LOWER, _UPPER = "abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUV
 class Limits:
     """When two loads differ: by how much at least, and how surely.
 
-    ``share``: difference of the share of nulls, of one value or of the most frequent one; ``form``: total variation of
-    forms; ``curve``: greatest distance of two cumulative distributions, which must be surer if it is ``slight``. The
+    ``share``: difference of the share of nulls, of one value or of the most frequent one, a thirtieth at least; ``form``: total
+    variation of formats; ``curve``: greatest distance of two cumulative distributions, which must be surer if it is ``slight``. The
     ``z`` are multiples of what chance explains. A difference must also be ``usual`` times the median of those between
-    all loads of its column, and for forms, which go by records where they are nested, its ``z`` likewise.
+    all loads of its column, and for formats, which go by records where they are nested, its ``z`` likewise.
     """
 
     share: float = 0.08
@@ -44,6 +48,10 @@ class Limits:
     slight_z: float = 4.0
     usual: float = 4.0
 
+    def __post_init__(self) -> None:
+        if self.share < 1 / 30:
+            raise ValueError("single values are looked at from a thirtieth of a load on")
+
 
 def _joined(arrays: Column) -> Column:
     """The arrays put together; null ones hold nothing."""
@@ -104,43 +112,70 @@ def value_counts(df: DataFrame, load: str = "load_id", skip: tuple[str, ...] = (
     names, arrays = _entries(df.schema, set(skip))
     flat = df.select(F.col(load).alias("load_id"), F.inline(F.concat(*(F.coalesce(a, F.array().cast(_ENTRY)) for a in arrays))))
     key = F.when(F.col("t").isNotNull(), F.xxhash64("t")).when(F.col("x").isNotNull(), F.xxhash64("x"))
+    flat = flat.withColumn("load_id", F.col("load_id").cast("string"))
     rows = flat.groupBy("load_id", "c", "t", "x").agg(F.count(F.lit(1)).alias("n"))
     return rows.select("load_id", "c", key.alias("key"), "t", "x", "n"), names
 
 
 class ValueCounts:
-    """A value-count table kept in the folder all executors share; ``apply`` adds or takes back the delta of a load.
+    """A value-count table kept in a folder all executors share; ``apply`` adds the delta of each load, ``take_back`` takes a load's away.
 
-    Deltas lie as they came until ``compact`` sums them up and drops values whose count is nought. Applying the same rows
-    with sign 1 and -1 leaves the table as it was.
+    A delta lies in a part of its load's own, so a load is read or taken back without the others. Deltas lie as they came
+    until ``compact`` sums them up and drops values whose count is nought. Applying the same rows with sign 1 and -1 leaves
+    the table as it was. Without ``path`` the table goes when the driver ends; with it, it can be opened again. One writer at a time.
     """
 
-    def __init__(self, spark: SparkSession, name: str = "value-counts"):
-        self.spark, self.work = spark, Workspace(spark, name)
-        self.deltas: list[DataFrame] = []
-        self.names: list[str] | None = None
-        self._made = 0
+    def __init__(self, spark: SparkSession, path: str | None = None):
+        self.spark = spark
+        self.work = Workspace(spark, "value-counts")
+        self.path = (path or f"{self.work.path}/store").rstrip("/")
+        held = numbered(spark, f"{self.path}/names")
+        self.names: list[str] | None = [r.name for r in spark.read.parquet(f"{self.path}/names/{held[-1]}").orderBy("c").collect()] if held else None  # one row for each column
+
+    def _deltas(self) -> list[int]:
+        return numbered(self.spark, f"{self.path}/deltas")
+
+    def _add(self, delta: DataFrame, number: int | None = None) -> None:
+        """Write one signed delta, each load in a part of its own; large loads are spread over several files."""
+        number = max(self._deltas(), default=-1) + 1 if number is None else number
+        part = F.coalesce(F.concat(F.lit("of "), F.col("load_id")), F.lit("none"))
+        delta.select(*_COUNTS, part.alias("load")).hint("rebalance", "load").write.partitionBy("load").parquet(f"{self.path}/deltas/{number}")
 
     def apply(self, df: DataFrame, sign: int = 1, load: str = "load_id", skip: tuple[str, ...] = ("load_id", "loaded_at")) -> None:
+        """Add the deltas of all loads in ``df``, in one pass."""
         delta, names = value_counts(df, load, skip)
-        if self.names is not None and names != self.names:
+        if self.names is None:
+            rows = self.spark.createDataFrame(list(enumerate(names)), "c int, name string")
+            rows.coalesce(1).write.parquet(f"{self.path}/names/0")
+            self.names = names
+        elif names != self.names:
             raise ValueError("the columns are not those of the loads before")
-        self.names = names
-        self.deltas.append(self.work.write(delta.withColumn("n", F.col("n") * sign) if sign != 1 else delta, f"delta-{self._made}"))
-        self._made += 1
-
-    def read(self) -> DataFrame:
-        """The counts: a single delta as it is, more summed up."""
-        whole = self.deltas[0]
-        for d in self.deltas[1:]:
-            whole = whole.unionByName(d)
-        if len(self.deltas) > 1:
+        self._add(delta.withColumn("n", F.col("n") * sign) if sign != 1 else delta)
+
+    def take_back(self, load_id: str) -> None:
+        """Take all of a load away, from what is kept of it; its records are not needed, nor other loads read."""
+        self._add(self.read(load_id).withColumn("n", -F.col("n")))
+
+    def read(self, *loads: str) -> DataFrame:
+        """The counts, of all loads or of some: a single delta as it is, more summed up."""
+        tables = [self.spark.read.schema(f"{_COUNT_SCHEMA}, load string").parquet(f"{self.path}/deltas/{k}") for k in self._deltas()]
+        if loads:
+            tables = [t.where(F.col("load").isin([f"of {x}" for x in loads])) for t in tables]
+        tables = [t.select(*_COUNTS) for t in tables]
+        if not tables:
+            return self.spark.createDataFrame([], _COUNT_SCHEMA)
+        whole = reduce(DataFrame.unionByName, tables)
+        if len(tables) > 1:
             whole = whole.groupBy("load_id", "c", "key", "t", "x").agg(F.sum("n").alias("n")).where("n <> 0")
         return whole
 
     def compact(self) -> None:
-        self.deltas = [self.work.write(self.read(), f"delta-{self._made}")]
-        self._made += 1
+        """Sum up all deltas into one; readers that opened the old ones must open the table again."""
+        old = self._deltas()
+        if len(old) > 1:
+            self._add(self.read())
+            for k in old:
+                remove(self.spark, f"{self.path}/deltas/{k}")
 
 
 def _classes(t: Column) -> Column:
@@ -162,19 +197,27 @@ def _malformed(counts: DataFrame) -> DataFrame:
     return odd.withColumn("usual", usual).where("usual >= 0.9").select("c", "format", "odd")
 
 
-def metrics(counts: DataFrame, names: list[str], per_load: bool = True) -> DataFrame:
+def metrics(counts: DataFrame, names: list[str], per_load: bool = True, patterns: dict[str, str] | None = None) -> DataFrame:
     """Exact metrics of each column, per load or over all.
 
     ``column_name, values, nulls, distinct, least, greatest, mean, entropy, least_text, greatest_text, malformed``: ``values``
     includes nulls; ``least``, ``greatest`` and ``mean`` are of numbers, sizes of arrays and maps, ``least_text`` and
     ``greatest_text`` of texts by their bytes; ``entropy`` in bits over the non-null values, 0 where there are none.
     ``malformed`` counts texts whose format is none of the usual ones of their column over all of ``counts``; it is null
-    for columns that have no usual format and for those without texts.
+    for columns that have no usual format and for those without texts. With ``patterns``, from column to regular expression, it
+    counts instead the texts in which nothing matches that of their column, and is null for columns without one.
     """
     by = ["load_id", "c"] if per_load else ["c"]
-    formats = _malformed(counts)
-    odd = counts.where("t is not null").groupBy(*by, _classes(F.col("t")).alias("format")).agg(F.sum("n").alias("n"))
-    odd = odd.join(formats, ["c", "format"]).groupBy(*by).agg(F.sum(F.when(F.col("odd"), F.col("n")).otherwise(0)).alias("malformed"))
+    if patterns is None:
+        formats = _malformed(counts)
+        odd = counts.where("t is not null").groupBy(*by, _classes(F.col("t")).alias("format")).agg(F.sum("n").alias("n"))
+        odd = odd.join(formats, ["c", "format"]).groupBy(*by).agg(F.sum(F.when(F.col("odd"), F.col("n")).otherwise(0)).alias("malformed"))
+    else:
+        fits = F.lit(None).cast("boolean")
+        for name, pattern in patterns.items():
+            fits = F.when(F.col("c") == names.index(name), F.col("t").rlike(pattern)).otherwise(fits)
+        odd = counts.where("t is not null").where(F.col("c").isin([names.index(n) for n in patterns]))
+        odd = odd.groupBy(*by).agg(F.sum(F.when(~fits, F.col("n")).otherwise(0)).alias("malformed"))
     if not per_load:
         counts = counts.groupBy("c", "key", "t", "x").agg(F.sum("n").alias("n"))
     some = F.col("key").isNotNull()
@@ -196,16 +239,17 @@ def metrics(counts: DataFrame, names: list[str], per_load: bool = True) -> DataF
 
 
 def _number_bin(x: Column) -> Column:
-    """A whole number that rises with ``x``: 16 steps for each doubling, the same beyond 2**60 and below 2**-20."""
+    """A whole number that rises with ``x``: 16 steps for each doubling, the same beyond 2**60 and below 2**-20.
+
+    By it the values of a column and load are summed up in parts; distributions are compared at the values themselves.
+    """
     size = F.log2(F.greatest(F.least(F.abs(x), F.lit(2.0**60)), F.lit(2.0**-20))) + 21
     step = F.floor(size * 16).cast("bigint")
     return F.when(x == 0, 0).when(x > 0, step).otherwise(-step)
 
 
-def _start(t: Column) -> Column:
-    """The first characters with letters and digits as ``x``, capitals as ``X``, runs taken together."""
-    start = F.translate(F.substring(t, 1, 28), _LOWER + _UPPER, "x" * len(_LOWER) + "X" * len(_UPPER))
-    return F.regexp_replace(start, r"(.)\1+", "$1")
+def _number_key(x: Column) -> Column:
+    return F.when(x.isNotNull(), F.lpad((_number_bin(x) + 5000).cast("string"), 5, "0"))
 
 
 def _format(t: Column) -> Column:
@@ -222,18 +266,17 @@ def _format(t: Column) -> Column:
 def _histograms(counts: DataFrame) -> DataFrame:
     """``load_id, c, what, bin, n``: histograms of nulls, forms, lengths, numbers.
 
-    Of texts there are ``form``, how they start, ``format``, what they are as a whole, ``classes``, the kinds of characters in
-    that, and the exact length. Formats of free texts are hardly ever alike; there the others tell.
+    Of texts there are ``format``, what they are as a whole, ``classes``, the kinds of characters in that, and the exact
+    length. Formats of free texts are hardly ever alike; there the others tell.
     """
     null = F.col("key").isNull()
     counts = counts.withColumn("format", _format(F.col("t")))
     bins = {
         "null": F.when(null, "1").otherwise("0"),
-        "form": _start(F.col("t")),
         "format": F.when(F.length("format") > 48, F.xxhash64("format").cast("string")).otherwise(F.col("format")),
         "classes": F.array_join(F.array_sort(F.array_distinct(F.split("format", ""))), ""),
         "length": F.lpad(F.length("t").cast("string"), 10, "0"),
-        "number": F.when(F.col("x").isNotNull(), F.lpad((_number_bin(F.col("x")) + 5000).cast("string"), 5, "0")),
+        "number": _number_key(F.col("x")),
     }
     pieces = F.array(*(F.struct(F.lit(w).alias("what"), b.alias("bin")) for w, b in bins.items()))
     return counts.select("load_id", "c", "n", F.inline(pieces)).where("bin is not null").groupBy("load_id", "c", "what", "bin").agg(F.sum("n").alias("n"))
@@ -260,14 +303,22 @@ def _tests(work: Workspace, counts: DataFrame, following: DataFrame) -> DataFram
     p = (F.col("a") + F.col("b")) / (F.col("na") + F.col("nb"))
     spread = F.sqrt(p * (1 - p) * (1 / F.col("na") + 1 / F.col("nb")))
     # total variation of forms and of nulls, beside what chance explains
-    tv = pairs.where("what in ('form', 'format', 'classes', 'null')").groupBy("load_id", "c", "what").agg(F.sum(F.abs(pa - pb) / 2).alias("effect"), F.sum(spread * 0.3989).alias("chance"))
+    tv = pairs.where("what in ('format', 'classes', 'null')").groupBy("load_id", "c", "what").agg(F.sum(F.abs(pa - pb) / 2).alias("effect"), F.sum(spread * 0.3989).alias("chance"))
     tv = tv.select("load_id", "c", F.col("what").alias("test"), "effect", F.when(F.col("effect") > 0, F.col("effect") / F.greatest("chance", F.lit(1e-9))).otherwise(0.0).alias("z"))
-    # greatest distance of the cumulative distributions of numbers and lengths
+    # greatest distance of the cumulative distributions of lengths and numbers, of these at every value that occurs
     upto = W.partitionBy("load_id", "c", "what").orderBy("bin").rowsBetween(W.unboundedPreceding, 0)
-    curve = pairs.where("what in ('number', 'length')").withColumn("d", F.abs(F.sum("a").over(upto) / F.col("na") - F.sum("b").over(upto) / F.col("nb")))
+    curve = pairs.where("what in ('number', 'length')").withColumn("ua", F.sum("a").over(upto)).withColumn("ub", F.sum("b").over(upto))
+    within = W.partitionBy("load_id", "c", "bin").orderBy("x").rowsBetween(W.unboundedPreceding, 0)
+    inside = _beside(counts.where("x is not null").select("load_id", "c", _number_key(F.col("x")).alias("bin"), "x", "n"), following, ["c", "bin", "x"])
+    inside = inside.select("load_id", "c", "bin", F.sum("a").over(within).alias("wa"), F.sum("b").over(within).alias("wb"))
+    below = curve.where("what = 'number'").select("load_id", "c", "bin", (F.col("ua") - F.col("a")).alias("fa"), (F.col("ub") - F.col("b")).alias("fb"), "na", "nb")
+    distance = lambda a, b: F.abs(a / F.col("na") - b / F.col("nb")).alias("d")
+    numbers = inside.join(below, ["load_id", "c", "bin"]).select("load_id", "c", F.lit("number").alias("what"), distance(F.col("fa") + F.col("wa"), F.col("fb") + F.col("wb")), "na", "nb")
+    curve = curve.where("what = 'length'").select("load_id", "c", "what", distance(F.col("ua"), F.col("ub")), "na", "nb").unionByName(numbers)
     curve = curve.groupBy("load_id", "c", "what").agg(F.max("d").alias("effect"), F.first("na").alias("na"), F.first("nb").alias("nb"))
     curve = curve.select("load_id", "c", F.col("what").alias("test"), "effect", (F.col("effect") * F.sqrt(F.col("na") * F.col("nb") / (F.col("na") + F.col("nb")))).alias("z"))
-    # shares of single values: only those that make up a thirtieth of a load, so at most thirty for a column and load
+    # shares of single values: those that make up a thirtieth of a load, so at most thirty for a column and load; a difference of
+    # shares that counts is larger than that, so no value without it in either load could make one (see Limits)
     sums = h.where("what = 'null'").groupBy("load_id", "c").agg(F.sum("n").alias("whole"))
     large = counts.where("key is not null").groupBy("load_id", "c", "key").agg(F.sum("n").alias("n")).join(sums, ["load_id", "c"]).where("n * 30 >= whole")
     large = work.write(large.select("load_id", "c", "key"), "frequent")
@@ -322,7 +373,7 @@ def changed_columns(
     differs = (
         F.when(F.col("test").isin("value", "fresh", "most"), beyond(limits.share, limits.share_z))
         .when(F.col("test") == "null", beyond(limits.share, limits.null_z))
-        .when(F.col("test").isin("form", "format", "classes"), beyond(limits.form, limits.form_z) & (F.col("z") >= limits.usual * F.col("median_z")))
+        .when(F.col("test").isin("format", "classes"), beyond(limits.form, limits.form_z) & (F.col("z") >= limits.usual * F.col("median_z")))
         .otherwise(beyond(limits.curve, limits.curve_z) | beyond(limits.slight, limits.slight_z))
     )
     tests = tests.join(usual, ["c", "test"]).where(differs & (F.col("effect") >= limits.usual * F.col("median")))

@@ -174,10 +174,34 @@ def _both(query) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+_UUID, _DIGEST = "^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$", "^[0-9a-f]{64}$"
+#: Declared formats of columns; what has another is malformed.
+PATTERNS = {
+    "extractions": {
+        "doc_id": _UUID, "source_hash": _DIGEST, "extracted_facts.fact_id": _UUID, "extracted_facts.entity_refs[]": _UUID, "entities.entity_id": _UUID,
+        "entities.type": "^(PERSON|ORG|LOCATION|DATE|AMOUNT|OTHER)$", "extraction_model": "^refiner-[a-z]+-[0-9]+$", "extracted_at": "^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ]",
+    },
+    "verdicts": {"verdict_id": _UUID, "rubric_id": _DIGEST, "rubric_version": "^[0-9]+[.][0-9]+[.][0-9]+$", "overall_verdict": "^(PASS|FAIL|WARN)$", "evaluated_at": "^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ]"},
+}
+
+
 def p5_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """Metrics of every column per load; malformed is what has not the declared format of its column."""
+
+    def one(name: str) -> DataFrame:
+        _, store = _counted(spark, folder, name)
+        m = profile_drift.metrics(store.read(), store.names, patterns=PATTERNS[name])
+        return m.withColumns({c: F.round(c, 9) for c in ("mean", "entropy")})
+
+    return _both(one)
+
+
+def p5_malformed(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts whose format is none of the usual ones of their column, which are learned from all loads."""
+
     def one(name: str) -> DataFrame:
         _, store = _counted(spark, folder, name)
-        return profile_drift.metrics(store.read(), store.names)
+        return profile_drift.metrics(store.read(), store.names).where("malformed > 0").select("load_id", "column_name", "malformed")
 
     return _both(one)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .general_problems import PATTERNS
+
 
 def instant_sql(c: str) -> str:
     """Epoch microseconds of a time held as text, null where it cannot be read; without a zone it is UTC."""
@@ -62,7 +64,54 @@ tree AS (
   UNION ALL
   SELECT n.id, n.parent, t.root, t.depth + 1, list_append(t.path, n.id) FROM tree t JOIN nodes n ON n.parent = t.id)"""
 
+
+
+def _values(table: str, columns: dict[str, str], source: str) -> list[str]:
+    """Rows ``load_id, column_name, t, x`` of columns given as SQL; one that starts with # is a number or a size."""
+    out = []
+    for name, c in columns.items():
+        pair = f"NULL AS t, CAST({c[1:]} AS DOUBLE) AS x" if c.startswith("#") else f"CAST({c} AS VARCHAR) AS t, NULL AS x"
+        out.append(f"SELECT '{table}' AS table_name, load_id, '{name}' AS column_name, {pair} FROM {source}")
+    return out
+
+
+def _unnested(table: str, array: str) -> str:
+    return f"(SELECT load_id, unnest({array}) AS f FROM {table}) x"
+
+
+def _profile() -> str:
+    facts, entities, scores = _unnested("extractions", "extracted_facts"), _unnested("extractions", "entities"), _unnested("verdicts", "map_values(scores)")
+    rows = _values("extractions", {
+        "doc_id": "doc_id", "source_path": "source_path", "source_hash": "source_hash", "extracted_facts": "#len(extracted_facts)", "entities": "#len(entities)",
+        "extraction_model": "extraction_model", "processing_time_ms": "#processing_time_ms", "token_count": "CASE WHEN token_count IS NOT NULL THEN '' END",
+        "token_count.input": "#token_count.input", "token_count.output": "#token_count.output", "extracted_at": "extracted_at",
+    }, "extractions")
+    rows += _values("extractions", {f"extracted_facts.{n}": c for n, c in {"fact_id": "f.fact_id", "text": "f.text", "entity_refs": "#len(f.entity_refs)", "confidence": "#f.confidence", "page_ref": "#f.page_ref", "source_excerpt": "f.source_excerpt"}.items()}, facts)
+    rows += _values("extractions", {"extracted_facts.entity_refs[]": "r"}, f"(SELECT load_id, unnest(f.entity_refs) AS r FROM {facts}) y")
+    rows += _values("extractions", {f"entities.{n}": f"f.{n}" for n in ("entity_id", "name", "type", "canonical_value")}, entities)
+    rows += _values("verdicts", {
+        "verdict_id": "verdict_id", "target_ref": "target_ref", "rubric_id": "rubric_id", "rubric_version": "rubric_version", "scores": "#cardinality(scores)",
+        "overall_verdict": "overall_verdict", "overall_score": "#overall_score", "confidence": "#confidence", "evaluated_at": "evaluated_at",
+    }, "verdicts")
+    rows += _values("verdicts", {"scores.key": "f"}, _unnested("verdicts", "map_keys(scores)"))
+    rows += _values("verdicts", {"scores.score": "#f.score", "scores.evidence": "#len(f.evidence)", "scores.notes": "f.notes"}, scores)
+    rows += _values("verdicts", {"scores.evidence[]": "r"}, f"(SELECT load_id, unnest(f.evidence) AS r FROM {scores}) y")
+    fits = " ".join(f"WHEN table_name = '{t}' AND column_name = '{c}' THEN regexp_matches(t, '{p}')" for t, columns in PATTERNS.items() for c, p in columns.items())
+    declared = " OR ".join(f"(table_name = '{t}' AND column_name IN ({', '.join(repr(c) for c in columns)}))" for t, columns in PATTERNS.items())
+    return f"""
+WITH v AS ({" UNION ALL ".join(rows)}),
+counts AS (SELECT table_name, load_id, column_name, t, x, count(*) AS n FROM v GROUP BY ALL),
+m AS (
+  SELECT table_name, load_id, column_name, CAST(sum(n) AS BIGINT) AS "values", CAST(coalesce(sum(n) FILTER (t IS NULL AND x IS NULL), 0) AS BIGINT) AS nulls,
+         count(*) FILTER (t IS NOT NULL OR x IS NOT NULL) AS "distinct", min(x) AS least, max(x) AS greatest, round(sum(x * n) / sum(n) FILTER (x IS NOT NULL), 9) AS mean,
+         sum(n) FILTER (t IS NOT NULL OR x IS NOT NULL) AS filled, sum(n * log2(n)) FILTER (t IS NOT NULL OR x IS NOT NULL) AS nlogn, min(t) AS least_text, max(t) AS greatest_text,
+         CASE WHEN ({declared}) AND count(t) > 0 THEN CAST(coalesce(sum(n) FILTER (t IS NOT NULL AND NOT CASE {fits} END), 0) AS BIGINT) END AS malformed
+  FROM counts GROUP BY table_name, load_id, column_name)
+SELECT table_name, load_id, column_name, "values", nulls, "distinct", least, greatest, mean, abs(round(coalesce(log2(filled) - nlogn / filled, 0), 9)) AS entropy, least_text, greatest_text, malformed FROM m"""
+
+
 SQL = {
+    "p5_profile": _profile(),
     "p1_periods": _PERIODS,
     "p1_found": f"SELECT aggregate_id, strftime(period_day, '%Y-%m-%d') AS period_day FROM ({_PERIODS}) p WHERE events <> first_events",
     "p2_found": f"{_NODES} SELECT id FROM nodes WHERE id NOT IN (SELECT id FROM tree)",

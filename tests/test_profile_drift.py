@@ -41,6 +41,55 @@ def test_signed_deltas(spark):
     assert rows(store.read()) == before
 
 
+def test_a_store_goes_on_in_another_session_load_by_load(spark, tmp_path):
+    loads = [spark.createDataFrame([row(str(k), a=f"{i % 3}", b=float(i)) for i in range(9)], SCHEMA) for k in (1, 2, 3)]
+    path = f"file://{tmp_path}/store"
+    for df in loads:
+        ValueCounts(spark, path).apply(df)  # opened again for each
+    store = ValueCounts(spark, path)
+    one_pass = ValueCounts(spark)
+    one_pass.apply(loads[0].unionByName(loads[1]).unionByName(loads[2]))
+    assert store.names == one_pass.names and rows(store.read()) == rows(one_pass.read())
+    assert rows(store.read("2")) == [x for x in rows(one_pass.read()) if x[0] == "2"]
+    store.take_back("2")
+    assert rows(store.read()) == [x for x in rows(one_pass.read()) if x[0] != "2"]
+    odd = spark.createDataFrame([row("1")[:0] + ("", *row("1")[1:]), (None, *row("1")[1:])], SCHEMA)
+    store.apply(odd)  # blank and null loads are two
+    assert {x[0] for x in rows(store.read())} == {"1", "3", "", None}
+    store.compact()
+    assert {x[0] for x in rows(ValueCounts(spark, path).read())} == {"1", "3", "", None}
+    with open(f"{tmp_path}/store/names/0/_SUCCESS"):
+        pass
+
+
+def test_limits_on_data_they_were_not_set_on(spark):
+    """Columns and changes unlike those of the test tables: at least 19 of 20 planted changes are found, and little else."""
+    r, loads, n = random.Random(11), 24, 250
+    planted = {  # column -> loads in which it is another
+        "a": (5, 6), "b": (9,), "n": (14, 15), "key": (3,), "form": (18,), "t.x": (11,), "f": (20,), "m.s": (7, 8),
+    }
+    data = []
+    for k in range(loads):
+        here = {c for c, ks in planted.items() if k in ks}
+        for i in range(n):
+            a = None if "a" in here and r.random() < 0.3 else f"AC-{r.randrange(10**5):05d}/{r.choice('KLM')}"
+            b = r.lognormvariate(3, 0.6) * (1.8 if "b" in here else 1)
+            t = (r.randrange(50, 90) if "t.x" in here else r.randrange(100),)
+            f = [(r.random(), None)] * (r.randrange(4) + 3 * ("f" in here))
+            m = {"k": (r.choice([1, 1, 5] if "m.s" in here else [1, 2, 3, 4, 5]),)}
+            whole = r.choice([10, 20, 30, 40, 99] if "n" in here else [10, 20, 30, 40])
+            key = r.choices(["lorry", "van", "bike", "tram"], [5, 3, 1, 3 if "key" in here else 0])[0]
+            form = f"{r.randrange(28) + 1}.{r.randrange(12) + 1}.2019" if "form" in here else f"2019-{r.randrange(12) + 1:02d}-{r.randrange(28) + 1:02d}"
+            data.append((f"{k:02d}", datetime(2017, 1, 1) + timedelta(days=k), a, b, t, f, m, whole, key, form))
+    df = spark.createDataFrame(data, SCHEMA)
+    store = ValueCounts(spark)
+    store.apply(df)
+    found = {(x.column_name, x.load_id) for x in changed_columns(spark, store, loads_in_order(df)).collect()}
+    want = {(c, f"{k:02d}") for c, ks in planted.items() for k in (ks[0], ks[-1] + 1)}
+    assert len(found & want) >= 0.95 * len(want), want - found
+    assert len(found - want) <= 0.1 * len(found), found - want
+
+
 def test_changes_are_found_where_they_start_and_end(spark):
     r, data = random.Random(3), []
     for k in range(12):
