@@ -4,8 +4,11 @@ Each snapshot's records become items ``(key, content)`` of two 64-bit hashes. Th
 of about :data:`BUCKET_ITEMS`; each bucket is summed up in a small table of cells holding a count and the XOR
 of keys, contents and check sums. Subtracting the tables of two snapshots leaves only what differs, which is
 peeled off cell by cell. A bucket with too many differences for its table gets a larger one, and in the end
-an exact comparison; the XOR over the whole bucket proves a result complete. What is shuffled follows the
-number of cells, not of records.
+an exact comparison; the XOR over the whole bucket proves a result complete.
+
+Items are made inside the row of their snapshot; only snapshots that came more than once, or name a node twice, are
+put together by a shuffle. Items then move once, without their ids, to be summed up; what meets for the subtraction
+are cells.
 """
 
 from __future__ import annotations
@@ -22,28 +25,53 @@ from ..functions.text import instant
 from ..sources.shared import Workspace
 from ..sources.ship import ship
 
-BUCKET_ITEMS = 64
+BUCKET_ITEMS = 32
 #: Cells of a bucket's first table; a failed bucket gets four times as many, this many times.
-FIRST_CELLS, ENLARGEMENTS = 24, 4
+FIRST_CELLS, ENLARGEMENTS = 12, 4
+#: A list of no more rows than this may be sent to every executor; a longer one is joined by a shuffle.
+SENT_ROWS = 100_000
 WHOLE = -1  # number of the cell that sums up its whole bucket
 
 _SUMS = ["n", "key_x", "content_x", "check_x"]
 
 
-def node_items(df: DataFrame) -> DataFrame:
-    """``snapshot_id, key, content, node_id``: each node of each snapshot once.
+def _sent(df: DataFrame) -> DataFrame:
+    """``df``, a table that is written, marked for broadcast if it is counted to be short."""
+    return F.broadcast(df) if df.count() <= SENT_ROWS else df
+
+
+def _buckets(items: Column) -> Column:
+    """A power of two, so that the tables of a larger snapshot can be summed up into those of a smaller one."""
+    return F.pow(F.lit(2), F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(items, F.lit(1)) / F.lit(BUCKET_ITEMS))))).cast("bigint")
+
+
+def node_items(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """``snapshot_id, key, content, node_id, buckets``: each node of each snapshot once.
 
     Order within arrays and maps means nothing, a null metadata map is an empty one. Repeated deliveries of a
     snapshot are put together; of a node that comes more than once the one first received counts, then the one
     with the smallest content hash. Nodes without ``node_id`` and snapshots without id are left out.
     """
-    n = F.col("n")
-    entries = F.array_sort(F.coalesce(F.map_entries(n["metadata"]), F.array().cast("array<struct<key:string,value:string>>")))
-    text = F.to_json(F.struct(n["node_id"].alias("i"), n["type"].alias("t"), n["label"].alias("l"), entries.alias("m")), {"ignoreNullFields": "false"})
-    rows = df.where("snapshot_id is not null").select("snapshot_id", "received_at", F.explode("nodes").alias("n")).where("n.node_id is not null")
-    items = rows.select("snapshot_id", F.xxhash64(n["node_id"]).alias("key"), n["node_id"].alias("node_id"), F.struct("received_at", F.xxhash64(text).alias("content")).alias("first"))
-    kept = items.groupBy("snapshot_id", "key").agg(F.min("first").alias("first"), F.min("node_id").alias("node_id"))
-    return kept.select("snapshot_id", "key", F.col("first.content").alias("content"), "node_id")
+    work = Workspace(spark, "items")
+    named = df.where("snapshot_id is not null")
+    often = work.write(named.groupBy("snapshot_id").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("snapshot_id", F.lit(True).alias("often")), "often")
+
+    def item(n: Column) -> Column:
+        entries = F.array_sort(F.coalesce(F.map_entries(n["metadata"]), F.array().cast("array<struct<key:string,value:string>>")))
+        text = F.to_json(F.struct(n["node_id"].alias("i"), n["type"].alias("t"), n["label"].alias("l"), entries.alias("m")), {"ignoreNullFields": "false"})
+        return F.struct(F.xxhash64(n["node_id"]).alias("key"), F.xxhash64(text).alias("content"), n["node_id"].alias("node_id"))
+
+    items = F.transform(F.filter("nodes", lambda n: n["node_id"].isNotNull()), item)
+    keys = F.col("items.key")
+    rows = named.join(_sent(often), "snapshot_id", "left").select("snapshot_id", "received_at", "often", items.alias("items")).where(F.size("items") > 0)
+    rows = rows.withColumn("whole", F.col("often").isNull() & (F.size(F.array_distinct(keys)) == F.size(keys)))
+    here = rows.where("whole").select("snapshot_id", F.inline("items"), _buckets(F.size("items")).alias("buckets"))
+    parts = rows.where("not whole").select("snapshot_id", "received_at", F.inline("items"))
+    first = F.min(F.struct("received_at", "content")).alias("first")
+    parts = parts.groupBy("snapshot_id", "key").agg(first, F.min("node_id").alias("node_id")).select("snapshot_id", "key", F.col("first.content").alias("content"), "node_id")
+    sizes = parts.groupBy("snapshot_id").agg(_buckets(F.count(F.lit(1))).alias("buckets"))
+    columns = ["snapshot_id", "key", "content", "node_id", "buckets"]
+    return work.write(here.select(columns).unionByName(parts.join(sizes, "snapshot_id").select(columns)), "items")
 
 
 def consecutive(df: DataFrame) -> DataFrame:
@@ -133,33 +161,30 @@ def differences(spark: SparkSession, items: DataFrame, pairs: DataFrame, first_c
     """``snapshot_id, before, key, change_kind`` for each pair of consecutive snapshots.
 
     ``items`` as of :func:`node_items`, ``pairs`` as of :func:`consecutive`; a snapshot without one before
-    it has no changes. ``first_cells`` is a multiple of 3.
+    it has no changes. ``first_cells`` is a multiple of 3. Buckets are taken from the low bits of the keys, so that tables of
+    different numbers of buckets can be summed up into each other.
     """
     ship(spark)
     work = Workspace(spark, "snapshots")
-    sizes = items.groupBy("snapshot_id").agg(F.count(F.lit(1)).alias("n"))
-    pairs = pairs.join(sizes, "snapshot_id", "left")
-    # one number of buckets for all snapshots of a root, so that any two of them can be subtracted
-    split = F.greatest(F.lit(1), F.ceil(F.max("n") / F.lit(BUCKET_ITEMS))).cast("bigint").alias("buckets")
-    shared = pairs.groupBy(F.col("root").alias("r")).agg(split)
-    pairs = work.write(pairs.join(shared, F.col("root").eqNullSafe(F.col("r"))).drop("r"), "pairs")
-    bucketed = items.join(pairs.select("snapshot_id", "buckets"), "snapshot_id").select("snapshot_id", F.pmod("key", "buckets").alias("bucket"), "key", "content")
-    cells = work.write(_cells(bucketed, ["snapshot_id", "bucket"], first_cells), "cells")
+    sizes = items.groupBy("snapshot_id").agg(F.max("buckets").alias("buckets"))
+    other = sizes.select(F.col("snapshot_id").alias("before"), F.col("buckets").alias("others"))
+    pairs = pairs.where("before is not null").join(sizes, "snapshot_id", "left").join(other, "before", "left")
+    # two snapshots are compared in as many buckets as the smaller one has; one without items has one
+    pairs = work.write(pairs.select("snapshot_id", "before", F.least(F.coalesce("buckets", F.lit(1)), F.coalesce("others", F.lit(1))).alias("buckets")), "pairs")
     # a snapshot counts in its own comparison and, with the other sign, in that of the snapshot after it
-    own = pairs.where("before is not null").select("snapshot_id", F.col("snapshot_id").alias("pair"), F.lit(1).alias("sign"))
-    after = pairs.where("before is not null").select(F.col("before").alias("snapshot_id"), F.col("snapshot_id").alias("pair"), F.lit(-1).alias("sign"))
-    sides = own.unionByName(after)
-    both = cells.join(sides, "snapshot_id").groupBy(F.col("pair").alias("snapshot_id"), "bucket", "cell")
-    subtracted = both.agg(F.sum(F.col("n") * F.col("sign")).alias("n"), *(F.bit_xor(c).alias(c) for c in _SUMS[1:]))
+    own = pairs.select("snapshot_id", F.col("snapshot_id").alias("pair"), F.lit(1).alias("sign"), F.col("buckets").alias("of"))
+    after = pairs.select(F.col("before").alias("snapshot_id"), F.col("snapshot_id").alias("pair"), F.lit(-1).alias("sign"), F.col("buckets").alias("of"))
+    met = items.select("snapshot_id", "key", "content").join(own.unionByName(after), "snapshot_id")
+    sided = met.select(F.col("pair").alias("snapshot_id"), F.pmod("key", "of").alias("bucket"), "sign", "key", "content")
+    subtracted = _cells(sided, ["snapshot_id", "bucket"], first_cells)
     decoded = [work.write(_decoded(subtracted, first_cells), "decoded-0")]
     size = first_cells
     for k in range(1, enlargements + 2):
         failed = decoded[-1].where("sign = 0").select("snapshot_id", "bucket")
         decoded[-1] = decoded[-1].where("sign <> 0")
-        if not failed.limit(1).count():
+        if failed.isEmpty():
             break
-        again = failed.withColumnRenamed("snapshot_id", "pair").join(sides, "pair").join(bucketed, ["snapshot_id", "bucket"])
-        again = again.select(F.col("pair").alias("snapshot_id"), "bucket", "sign", "key", "content")
+        again = sided.join(_sent(work.write(failed, f"failed-{k}")), ["snapshot_id", "bucket"])
         if k <= enlargements:
             size *= 4
             redone = _decoded(_cells(again, ["snapshot_id", "bucket"], size), size)
@@ -181,8 +206,8 @@ def node_changes(spark: SparkSession, df: DataFrame) -> DataFrame:
     A removed node is reported with the later snapshot's id. Needed columns: ``snapshot_id, codebase_root,
     captured_at, received_at, nodes``.
     """
-    items = Workspace(spark, "items").write(node_items(df), "items")
-    changes = differences(spark, items, consecutive(df))
+    items = node_items(spark, df)
+    changes = Workspace(spark, "changes").write(differences(spark, items, consecutive(df)), "changes")
     at = F.when(F.col("change_kind") == "removed", F.col("before")).otherwise(F.col("snapshot_id"))
-    named = changes.withColumn("of", at).join(items.select(F.col("snapshot_id").alias("of"), "key", "node_id"), ["of", "key"])
+    named = items.select(F.col("snapshot_id").alias("of"), "key", "node_id").join(_sent(changes.withColumn("of", at)), ["of", "key"])
     return named.select("snapshot_id", "node_id", "change_kind")

@@ -45,7 +45,7 @@ def test_random_snapshots_whatever_the_table_size(spark, cells, enlargements):
         data.append((f"s{s}", "r", f"2017-01-0{s + 1}T00:00:00Z", 1, [node(k, v=str(v)) for k, v in now.items()]))
         now = {k: v + (r.random() < 0.1 * s) for k, v in now.items() if r.random() > 0.1 * s} | {f"m{s}-{i}": 0 for i in range(30 * s)}
     df = frame(spark, data)
-    items = node_items(df).cache()
+    items = node_items(spark, df)
     got = differences(spark, items, consecutive(df), cells, enlargements)
     named = got.join(items.select("key", "node_id").distinct(), "key")
     want, before = [], None
