@@ -1,8 +1,10 @@
 """One consistent table from JSON-lines files whose fields drift, and a report of each change.
 
 The schema of every file is gathered from its records in one pass, by partial summaries that merge. Consecutive
-files of a feed are compared by tree edit distance; the scripts, put together along a feed, say under which name a
-field first came, and are compiled into a projection of each file onto those names.
+files of a feed are compared by tree edit distance. Whether a field that goes and one that comes are the same is decided on all
+their values: a second pass gathers the values of such fields, and only of them, and joins count what they have in common.
+The scripts, put together along a feed, say under which name a field first came, and are compiled into a
+projection of each file onto those names.
 """
 
 from __future__ import annotations
@@ -18,15 +20,10 @@ from pyspark.sql import functions as F
 from ..sources.shared import Workspace
 from ..sources.ship import ship
 from . import schema_tree as st
+from .skew import short
 
-_FIELD = "path array<string>, kinds array<string>, seen bigint, least double, most double, codes array<bigint>, values array<string>"
-_NAMES = ["path", "kinds", "seen", "least", "most", "codes", "values"]
-
-
-def _row(path: tuple[str, ...], f: st.Field) -> tuple:
-    f.trim()
-    codes = sorted(f.values)
-    return list(path), sorted(f.kinds), f.seen, f.numbers[0], f.numbers[1], codes, [f.values[c] for c in codes]
+_FIELD = "path array<string>, kinds array<string>, seen bigint, least double, most double, whole boolean"
+_NAMES = ["path", "kinds", "seen", "least", "most", "whole"]
 
 
 def _summaries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -37,37 +34,88 @@ def _summaries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             record = st.parse_record(raw)
             if record is not None:
                 st.scan(record, fields)
-        yield pd.DataFrame([(*k, *_row(p, f)) for k, fields in files.items() for p, f in fields.items()], columns=["feed", "file_name", *_NAMES])
+        yield pd.DataFrame([(*k, list(p), sorted(f.kinds), f.seen, *f.numbers, f.whole) for k, fields in files.items() for p, f in fields.items()], columns=["feed", "file_name", *_NAMES])
 
 
-def file_schemas(spark: SparkSession, lines: DataFrame) -> DataFrame:
-    """``feed, file_name, fields``: what the records of each file hold. ``lines`` has ``feed, file_name, raw``.
+def _lines(lines: DataFrame) -> DataFrame:
+    return lines.where("feed is not null and file_name is not null").select("feed", "file_name", "raw")
 
-    Lines that are no JSON objects are no records; a file without records has no fields. A row's summaries are as large
-    as the fields of a file are many, not as its records.
+
+def file_fields(spark: SparkSession, lines: DataFrame) -> DataFrame:
+    """``feed, file_name`` and, for each field of the file's records, ``path, kinds, seen, least, most, whole``; an empty path stands for the file itself.
+
+    ``lines`` has ``feed, file_name, raw``. Lines that are no JSON objects are no records; a file without records has no
+    other fields. Kinds are of non-null values.
     """
     ship(spark)
-    parts = lines.where("feed is not null and file_name is not null").select("feed", "file_name", "raw").mapInPandas(_summaries, f"feed string, file_name string, {_FIELD}")
-    merged = parts.groupBy("feed", "file_name", "path").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("kinds")))).alias("kinds"), F.sum("seen").alias("seen"), F.min("least").alias("least"), F.max("most").alias("most"),
-        F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.arrays_zip("codes", "values"))))), 1, st.SKETCH).alias("kept"),
-    )
-    merged = merged.select("feed", "file_name", "path", "kinds", "seen", "least", "most", F.col("kept.codes").alias("codes"), F.col("kept.values").alias("values"))
-    return merged.groupBy("feed", "file_name").agg(F.collect_list(F.struct(*_NAMES)).alias("fields"))
+    parts = _lines(lines).mapInPandas(_summaries, f"feed string, file_name string, {_FIELD}")
+    # kinds are five at most, so the sets stay small
+    kinds = F.array_sort(F.array_distinct(F.flatten(F.collect_set("kinds"))))
+    return parts.groupBy("feed", "file_name", "path").agg(kinds.alias("kinds"), F.sum("seen").alias("seen"), F.min("least").alias("least"), F.max("most").alias("most"), F.bool_and("whole").alias("whole"))
+
+
+def file_schemas(spark: SparkSession, lines: DataFrame) -> DataFrame:
+    """``feed, file_name, fields``: the fields of a file as one row, as large as they are many, not as its records."""
+    return file_fields(spark, lines).groupBy("feed", "file_name").agg(F.collect_list(F.struct(*_NAMES)).alias("fields"))
 
 
 def _tree(fields) -> st.Node:
-    return st.tree(
-        (tuple(f["path"]), st.Field(set(f["kinds"]), f["seen"], dict(zip(f["codes"], f["values"], strict=True)), [f["least"], f["most"]]))
-        for f in fields if len(f["path"])
-    )
+    return st.tree((tuple(f["path"]), st.Field(set(f["kinds"]), f["seen"], [f["least"], f["most"]], bool(f["whole"]))) for f in fields if len(f["path"]))
+
+
+def _candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        out = []
+        for feed, former, name, old, new in zip(b["feed"], b["former"], b["file_name"], b["before"], b["fields"], strict=True):
+            out += [(feed, former, name, p, q) for p, q in st.compared(_tree(old), _tree(new))]
+        yield pd.DataFrame(out, columns=["feed", "former", "file_name", "old", "new"])
+
+
+def _values(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        found: set[tuple[str, str, str, str]] = set()
+        for feed, name, raw, wanted in zip(b["feed"], b["file_name"], b["raw"], b["wanted"], strict=True):
+            record = st.parse_record(raw)
+            if record is not None:
+                paths = set(wanted)
+                for path, value in st.walk(record):
+                    at = ".".join(path)
+                    if at in paths:
+                        found.update((feed, name, at, str(x)) for x in st.singles(value))
+        yield pd.DataFrame([(*x, st.shape(x[3])) for x in found], columns=["feed", "file_name", "path", "value", "form"])
+
+
+def _in_common(work: Workspace, lines: DataFrame, candidates: DataFrame) -> DataFrame:
+    """``feed, file_name, shared``: for each file the pairs of ``candidates`` with the distinct values and forms of each side and of both.
+
+    Every value counts, whole. Joins are on file, field and value; a pair has as many rows as its former field has distinct values.
+    """
+    sides = candidates.select("feed", F.col("former").alias("file_name"), F.col("old").alias("path")).unionByName(candidates.select("feed", "file_name", F.col("new").alias("path")))
+    wanted = work.write(sides.groupBy("feed", "file_name").agg(F.collect_set("path").alias("wanted")), "wanted")
+    values = _lines(lines).join(short(wanted), ["feed", "file_name"]).mapInPandas(_values, "feed string, file_name string, path string, value string, form string").distinct()
+    values = work.write(values, "values")
+
+    def counted(of: str) -> DataFrame:
+        distinct = values.select("feed", "file_name", "path", F.col(of).alias("v"))
+        distinct = distinct.distinct() if of == "form" else distinct
+        sizes = distinct.groupBy("feed", "file_name", "path").agg(F.count(F.lit(1)).alias("n"))
+        old = candidates.join(distinct.select("feed", F.col("file_name").alias("former"), F.col("path").alias("old"), "v"), ["feed", "former", "old"])
+        both = old.join(distinct.select("feed", "file_name", F.col("path").alias("new"), "v"), ["feed", "file_name", "new", "v"])
+        both = both.groupBy(*candidates.columns).agg(F.count(F.lit(1)).alias("both"))
+        sized = candidates.join(sizes.select("feed", F.col("file_name").alias("former"), F.col("path").alias("old"), F.col("n").alias("a")), ["feed", "former", "old"])
+        sized = sized.join(sizes.select("feed", "file_name", F.col("path").alias("new"), F.col("n").alias("b")), ["feed", "file_name", "new"])
+        return sized.join(both, candidates.columns, "left").select(*candidates.columns, F.array("a", "b", F.coalesce("both", F.lit(0))).alias(of))
+
+    pairs = counted("value").join(counted("form"), candidates.columns)
+    return pairs.groupBy("feed", "file_name").agg(F.collect_list(F.struct("old", "new", "value", "form")).alias("shared"))
 
 
 def _scripts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         out = []
-        for feed, name, old, new in zip(b["feed"], b["file_name"], b["before"], b["fields"], strict=True):
-            cost, ops = st.script(_tree(old), _tree(new))
+        for feed, name, old, new, shared in zip(b["feed"], b["file_name"], b["before"], b["fields"], b["shared"], strict=True):
+            known = {(x["old"], x["new"]): st.Shared(tuple(x["value"]), tuple(x["form"])) for x in (shared if shared is not None else ())}
+            cost, ops = st.script(_tree(old), _tree(new), known)
             out += [(feed, name, path, kind, to or None, cost) for kind, path, to in ops]
         yield pd.DataFrame(out, columns=["feed", "file_name", "field", "change_kind", "to_field", "cost"])
 
@@ -78,10 +126,13 @@ def schema_changes(spark: SparkSession, lines: DataFrame) -> DataFrame:
     A file is compared with the one before it in its feed, by ``file_name``; the first has none. ``field`` is a dotted
     path, the former one for ``renamed`` and ``moved``. ``cost`` is that of the file's whole script.
     """
-    schemas = Workspace(spark, "drift").write(file_schemas(spark, lines), "schemas")
+    work = Workspace(spark, "drift")
+    schemas = work.write(file_schemas(spark, lines), "schemas")
     order = schemas.select("feed", "file_name", F.lag("file_name").over(W.partitionBy("feed").orderBy("file_name")).alias("former")).where("former is not null")
     old = schemas.select("feed", F.col("file_name").alias("former"), F.col("fields").alias("before"))
-    pairs = order.join(schemas, ["feed", "file_name"]).join(old, ["feed", "former"]).select("feed", "file_name", "before", "fields")
+    pairs = work.write(order.join(schemas, ["feed", "file_name"]).join(old, ["feed", "former"]).select("feed", "former", "file_name", "before", "fields"), "pairs")
+    candidates = work.write(pairs.mapInPandas(_candidates, "feed string, former string, file_name string, old string, new string"), "candidates")
+    pairs = pairs.join(_in_common(work, lines, candidates), ["feed", "file_name"], "left")
     return pairs.mapInPandas(_scripts, "feed string, file_name string, field string, change_kind string, to_field string, cost double")
 
 

@@ -1,4 +1,4 @@
-"""Joins whose key may be shared by very many rows of one side."""
+"""Joins whose key may be shared by very many rows of one side, and of tables that may be sent to every executor."""
 
 from __future__ import annotations
 
@@ -9,6 +9,13 @@ from pyspark.sql import functions as F
 HOT_ROWS = 200_000
 #: No more keys than this can be hot, however large the table is, so the list of them can be broadcast.
 HOT_KEYS = 10_000
+#: A list of no more rows than this may be sent to every executor.
+SENT_ROWS = 100_000
+
+
+def short(df: DataFrame, most: int = SENT_ROWS) -> DataFrame:
+    """``df``, a table that is written, marked for broadcast if it is counted to be short; a longer one is joined by a shuffle."""
+    return F.broadcast(df) if df.count() <= most else df
 
 
 def look_up(many: DataFrame, one: DataFrame, key: str, rows: int, spread: Column, how: str = "inner", hot_rows: int = HOT_ROWS) -> DataFrame:

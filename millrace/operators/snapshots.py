@@ -24,22 +24,16 @@ from pyspark.sql import functions as F
 from ..functions.text import instant
 from ..sources.shared import Workspace
 from ..sources.ship import ship
+from .skew import short
 
 BUCKET_ITEMS = 32
 #: Cells of a bucket's first table; a failed bucket gets four times as many, this many times.
 FIRST_CELLS, ENLARGEMENTS = 12, 4
-#: A list of no more rows than this may be sent to every executor; a longer one is joined by a shuffle.
-SENT_ROWS = 100_000
 WHOLE = -1  # number of the cell that sums up its whole bucket
 
 _SUMS = ["n", "key_x", "content_x", "check_x"]
 
 
-def _sent(df: DataFrame) -> DataFrame:
-    """``df``, a table that is written, marked for broadcast if it is counted to be short."""
-    return F.broadcast(df) if df.count() <= SENT_ROWS else df
-
-
 def _buckets(items: Column) -> Column:
     """A power of two, so that the tables of a larger snapshot can be summed up into those of a smaller one."""
     return F.pow(F.lit(2), F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(items, F.lit(1)) / F.lit(BUCKET_ITEMS))))).cast("bigint")
@@ -63,7 +57,7 @@ def node_items(spark: SparkSession, df: DataFrame) -> DataFrame:
 
     items = F.transform(F.filter("nodes", lambda n: n["node_id"].isNotNull()), item)
     keys = F.col("items.key")
-    rows = named.join(_sent(often), "snapshot_id", "left").select("snapshot_id", "received_at", "often", items.alias("items")).where(F.size("items") > 0)
+    rows = named.join(short(often), "snapshot_id", "left").select("snapshot_id", "received_at", "often", items.alias("items")).where(F.size("items") > 0)
     rows = rows.withColumn("whole", F.col("often").isNull() & (F.size(F.array_distinct(keys)) == F.size(keys)))
     here = rows.where("whole").select("snapshot_id", F.inline("items"), _buckets(F.size("items")).alias("buckets"))
     parts = rows.where("not whole").select("snapshot_id", "received_at", F.inline("items"))
@@ -184,7 +178,7 @@ def differences(spark: SparkSession, items: DataFrame, pairs: DataFrame, first_c
         decoded[-1] = decoded[-1].where("sign <> 0")
         if failed.isEmpty():
             break
-        again = sided.join(_sent(work.write(failed, f"failed-{k}")), ["snapshot_id", "bucket"])
+        again = sided.join(short(work.write(failed, f"failed-{k}")), ["snapshot_id", "bucket"])
         if k <= enlargements:
             size *= 4
             redone = _decoded(_cells(again, ["snapshot_id", "bucket"], size), size)
@@ -209,5 +203,5 @@ def node_changes(spark: SparkSession, df: DataFrame) -> DataFrame:
     items = node_items(spark, df)
     changes = Workspace(spark, "changes").write(differences(spark, items, consecutive(df)), "changes")
     at = F.when(F.col("change_kind") == "removed", F.col("before")).otherwise(F.col("snapshot_id"))
-    named = items.select(F.col("snapshot_id").alias("of"), "key", "node_id").join(_sent(changes.withColumn("of", at)), ["of", "key"])
+    named = items.select(F.col("snapshot_id").alias("of"), "key", "node_id").join(short(changes.withColumn("of", at)), ["of", "key"])
     return named.select("snapshot_id", "node_id", "change_kind")

@@ -145,6 +145,12 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return node_changes(spark, table(spark, folder, "lineage_snapshots"))
 
 
+def p7_fields(spark: SparkSession, folder: str) -> DataFrame:
+    """The fields of every file with the kinds of their non-null values."""
+    fields = schema_drift.file_fields(spark, table(spark, folder, "raw_records")).where("size(path) > 0")
+    return fields.select("feed", "file_name", F.array_join("path", ".").alias("field"), F.array_join("kinds", ",").alias("kinds"))
+
+
 def p7_changes(spark: SparkSession, folder: str) -> DataFrame:
     return schema_drift.schema_changes(spark, table(spark, folder, "raw_records"))
 

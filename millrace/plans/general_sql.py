@@ -150,6 +150,13 @@ FROM (SELECT snapshot_id, received_at, unnest(nodes) AS f, generate_subscripts(n
     "p4_edges": """
 SELECT snapshot_id, received_at, CAST(i - 1 AS INTEGER) AS pos_edges, f.source AS source, f.target AS target, f.relationship AS relationship, f.confidence AS confidence
 FROM (SELECT snapshot_id, received_at, unnest(edges) AS f, generate_subscripts(edges, 1) AS i FROM lineage_snapshots) x""",
+    "p7_fields": r"""
+WITH records AS (SELECT feed, file_name, raw FROM raw_records WHERE feed IS NOT NULL AND file_name IS NOT NULL AND json_valid(raw) AND json_type(raw) = 'OBJECT'),
+fields AS (
+  SELECT feed, file_name, regexp_replace(regexp_replace(t.fullkey, '\[[0-9]+\]', '', 'g'), '^\$\.', '') AS field,
+         CASE t.type WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'ARRAY' THEN 'array' WHEN 'OBJECT' THEN 'object' WHEN 'NULL' THEN NULL ELSE 'number' END AS kind
+  FROM records, json_tree(raw) t WHERE t.fullkey <> '$' AND NOT regexp_matches(t.fullkey, '\]$'))
+SELECT feed, file_name, field, coalesce(string_agg(DISTINCT kind, ',' ORDER BY kind), '') AS kinds FROM fields GROUP BY ALL""",
     "p4_node_metadata": """
 SELECT snapshot_id, received_at, CAST(i - 1 AS INTEGER) AS pos_nodes, node_id, e.key AS key, e.value AS value
 FROM (SELECT snapshot_id, received_at, i, f.node_id AS node_id, unnest(map_entries(f.metadata)) AS e

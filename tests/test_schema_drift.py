@@ -48,6 +48,22 @@ def test_renames(spark):
     assert changes(spark, [{k: v for k, v in r.items() if k != "flag"} for r in one], three) == sorted([("f/1", "note", "added"), ("f/1", "payload.status", "renamed")], key=repr)
 
 
+def test_names_are_told_by_whole_values_and_all_of_them(spark):
+    """Values that agree in their first 64 characters are different; a common value beyond the first hundreds counts."""
+    head = "the same beginning of every value, long enough to fill a prefix "
+    one = [{"k": head + f"k{i}", "same": 1} for i in range(300)]
+    other = [{"zz": head + "other " * (i % 40 + 1) + str(i), "same": 1} for i in range(300)]
+    assert changes(spark, one, other) == [("f/1", "k", "removed"), ("f/1", "zz", "added")]
+    again = [{"zz": r["k"], "same": 1} for r in one]
+    assert changes(spark, one, again) == [("f/1", "k", "renamed")]
+    half = [{"zz": f"{i:04d}:{'x' * (i % 9)}|" if i % 2 else r["k"], "same": 1} for i, r in enumerate(one)]
+    assert changes(spark, one, half) == [("f/1", "k", "renamed")]
+
+
+def test_broken_characters(spark):
+    assert changes(spark, ['{"a": "\\ud800x", "b": 1}'], ['{"c": "\\ud800x", "b": 1}']) == [("f/1", "a", "renamed")]
+
+
 def test_moved_is_removed_and_added(spark):
     one, two = [{"a": {"trace": {"span": "q", "depth": 1}}, "b": {}}], [{"a": {}, "b": {"trace": {"span": "q", "depth": 1}}}]
     df = lines(spark, {"f/0": one, "f/1": two})
