@@ -252,29 +252,36 @@ def _number_key(x: Column) -> Column:
     return F.when(x.isNotNull(), F.lpad((_number_bin(x) + 5000).cast("string"), 5, "0"))
 
 
-def _format(t: Column) -> Column:
-    """The whole text with small letters as ``a``, capitals as ``A``, digits as ``9``, runs and repeated words taken together.
-
-    Where letters and digits alternate, as in hashes, they are one ``x``; else hardly two values would be alike.
-    """
+def _runs(t: Column) -> Column:
+    """The whole text with small letters as ``a``, capitals as ``A``, digits as ``9``, runs taken together."""
     plain = F.translate(t, _LOWER + _UPPER, "a" * 26 + "9" * 10 + "A" * 26)
-    plain = F.regexp_replace(F.regexp_replace(plain, r"\s", " "), r"(.)\1+", "$1")
-    plain = F.regexp_replace(plain, r"(?<![aA9])[aA9]*?(?:[aA]9|9[aA])[aA9]*", "x")
+    return F.regexp_replace(F.regexp_replace(plain, r"\s", " "), r"(.)\1+", "$1")
+
+
+def _format(runs: Column) -> Column:
+    """Runs with repeated words taken together; where letters and digits alternate, as in hashes, they are one ``x``, else hardly two values would be alike."""
+    plain = F.regexp_replace(runs, r"(?<![aA9])[aA9]*?(?:[aA]9|9[aA])[aA9]*", "x")
     return F.regexp_replace(plain, r"(?<!\S)(\S+ )\1+", "$1")
 
 
+def _kinds(runs: Column) -> Column:
+    """Which kinds of characters there are: small letters, capitals, digits, and each other character."""
+    letters = F.concat(*(F.when(F.contains(runs, F.lit(k)), k).otherwise("") for k in "aA9"))
+    return F.concat(letters, F.array_join(F.array_sort(F.array_distinct(F.split(F.regexp_replace(runs, "[aA9]+", ""), ""))), ""))
+
+
 def _histograms(counts: DataFrame) -> DataFrame:
     """``load_id, c, what, bin, n``: histograms of nulls, forms, lengths, numbers.
 
-    Of texts there are ``format``, what they are as a whole, ``classes``, the kinds of characters in that, and the exact
+    Of texts there are ``format``, what they are as a whole, ``classes``, the kinds of characters in them, and the exact
     length. Formats of free texts are hardly ever alike; there the others tell.
     """
     null = F.col("key").isNull()
-    counts = counts.withColumn("format", _format(F.col("t")))
+    counts = counts.withColumn("runs", _runs(F.col("t"))).withColumn("format", _format(F.col("runs")))
     bins = {
         "null": F.when(null, "1").otherwise("0"),
         "format": F.when(F.length("format") > 48, F.xxhash64("format").cast("string")).otherwise(F.col("format")),
-        "classes": F.array_join(F.array_sort(F.array_distinct(F.split("format", ""))), ""),
+        "classes": _kinds(F.col("runs")),
         "length": F.lpad(F.length("t").cast("string"), 10, "0"),
         "number": _number_key(F.col("x")),
     }

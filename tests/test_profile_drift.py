@@ -140,6 +140,7 @@ def test_formats_are_those_of_whole_texts(spark):
     assert found_in(spark, lambda k, i: digest() + "f" * 15 * (k == 5)) == {"5", "6"}  # 64 and 79 characters
     assert found_in(spark, lambda k, i: digest()[:32] + "*" * 32 if k == 5 else digest()) == {"5", "6"}
     assert found_in(spark, lambda k, i: "".join(r.choices("abcdef" if k == 5 else "0123456789", k=12))) == {"5", "6"}
+    assert found_in(spark, lambda k, i: digest().upper() if k == 5 else digest()) == {"5", "6"}
     assert found_in(spark, lambda k, i: digest()) == set()
 
 
