@@ -127,8 +127,13 @@ def pack(spark: SparkSession, items: DataFrame, capacities: list[int]) -> DataFr
         plans[c] = plan_bins(counts, c)
     codes, starts, uses, firsts = _lookup(plans)
     number = {c: i for i, c in enumerate(capacities)}
+    if max((n for counts in (whole, cut) for n in counts.values()), default=0) >= 1 << (_RANK_BITS - 1):
+        raise ValueError("more items of one length than ranks")
+    # as long as the plans, a few numbers for each kind of bin, of which there are at most twice as many as lengths
+    sent = spark.sparkContext.broadcast((codes, starts, uses, firsts))
 
     def look_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        codes, starts, uses, firsts = sent.value
         for b in batches:
             c = b["capacity"].map(number).to_numpy(np.int64)
             rank = b["rank"].to_numpy(np.int64)
@@ -151,6 +156,17 @@ def pack(spark: SparkSession, items: DataFrame, capacities: list[int]) -> DataFr
     return binned.unionByName(full).unionByName(empty)
 
 
+def holds(packed: DataFrame) -> DataFrame:
+    """Per capacity what must hold of a packing: pieces and tokens in bins, bins over their capacity, items cut though they fit, and whether at least
+    19 twentieths of all room is used."""
+    packed = packed.where("bin is not null")
+    bins = packed.groupBy("capacity", "bin").agg(F.sum("tokens").alias("used"), F.count(F.lit(1)).alias("pieces"))
+    rooms = bins.groupBy("capacity").agg(F.sum("pieces").alias("pieces"), F.sum("used").alias("tokens"), F.count_if(F.col("used") > F.col("capacity")).alias("over_full"), (F.sum("used") >= 0.95 * F.count(F.lit(1)) * F.col("capacity")).alias("well_filled"))
+    items = packed.groupBy("capacity", "doc_id").agg(F.sum("tokens").alias("size"), F.max("piece").alias("last"))
+    cut = items.groupBy("capacity").agg(F.count_if((F.col("last") > 0) & (F.col("size") <= F.col("capacity"))).alias("cut_for_nothing"))
+    return rooms.join(cut, "capacity").select("capacity", "pieces", "tokens", "over_full", "cut_for_nothing", "well_filled")
+
+
 def fill(packed: DataFrame) -> DataFrame:
     """Per capacity the bins, the pieces and tokens in them, the share of room used and the least number of bins possible."""
     used = packed.where("bin is not null").groupBy("capacity").agg(
