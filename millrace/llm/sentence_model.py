@@ -185,19 +185,19 @@ class Scorer:
             self.sizes[c], self.hashes[c] = len(rows), self.features.hash[c]
         self.known = there
 
-    def documents(self, texts: list[str], at_once: int = 200) -> list[np.ndarray]:
-        """For each text which areas it is chiefly about; some hundred texts are scored together."""
+    def documents(self, texts: list[list[list[str]]], at_once: int = 200) -> list[np.ndarray]:
+        """For each text, given by its sentences, which areas it is chiefly about; some hundred texts are scored together."""
         out: list[np.ndarray] = []
         for i in range(0, len(texts), at_once):
             out += self._some(texts[i : i + at_once])
         return out
 
-    def _some(self, texts: list[str]) -> list[np.ndarray]:
+    def _some(self, texts: list[list[list[str]]]) -> list[np.ndarray]:
         if len(self.features.rows) > self.most:
             self._clear()
         of, codes, lengths, doc = self.features.of, [], [], []
         for d, text in enumerate(texts):
-            for words in sentences(text):
+            for words in text:
                 codes += [of(w) for w in words]
                 lengths.append(len(words))
                 doc.append(d)

@@ -9,8 +9,9 @@ belong to any area belong to it. So the model scores sentences, and is trained i
    labelled document has are learned from the company they keep.
 
 Each round sums the gradients of all partitions on one shard of the sentences and takes one step on the
-driver; what is sent is the model and one gradient for each partition. With the corpus the shards grow in number, not in
-size, and every stage takes each shard once at least. Every document is scored.
+driver; what is sent is the model and the gradients, summed up among the executors first where there are many partitions. The
+number of rounds is fixed: with the corpus the shards grow in size, and every stage takes each shard once at least, so
+every sentence is learned from in every stage. Every document is scored.
 """
 
 from __future__ import annotations
@@ -37,7 +38,8 @@ OTHER = "other"
 class Training:
     """Settings of a fit. At most about ``labelled`` labelled documents are learned from, and all others.
 
-    For every ``unlabelled`` documents without labels there are ``shards`` shards; labelled ones weigh against so many of them.
+    Sentences are cut into shards of about ``shard`` documents, at least ``shards`` and at most ``most_shards`` of them. All labelled documents
+    together weigh as ``unlabelled`` others for each of their number, as if these came in parts of ``unlabelled``.
 
     A document counts as much as it has sentences, but no more than ``weighed`` of them, so that a very long one
     does not outweigh all others; all its sentences are learned from.
@@ -48,6 +50,8 @@ class Training:
     rounds: tuple[int, int, int] = (24, 16, 16)
     rate: float = 0.05
     shards: int = 4
+    shard: int = 3_000
+    most_shards: int = 16
     partitions: int = 12
     weighed: int = 32
 
@@ -70,20 +74,30 @@ def _sample(df: DataFrame, most: int) -> DataFrame:
     return df.where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 30)) < F.lit(int((1 << 30) * most / there)))
 
 
-def _learnable(docs: DataFrame, how: Training, shards: int) -> DataFrame:
-    """``shard, rows, named, weight``: the sentences of ``doc_id, text, named, counts`` as table rows."""
-    weighed = how.weighed
+def _learnable(docs: DataFrame, how: Training, shards: int, guess: sm.Model | None = None) -> DataFrame:
+    """``shard, rows, named, weight``: the sentences of ``doc_id, text, named, counts`` as table rows.
+
+    Where ``named`` is null, the areas are those that ``guess`` finds; a text is read once for both.
+    """
+    weighed, key = how.weighed, uuid.uuid4().hex
+    sent = docs.sparkSession.sparkContext.broadcast(guess) if guess else None
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         features: sm.Features = _once("features", sm.Features)  # type: ignore[assignment]
         for b in batches:
+            texts = [sm.sentences(t) for t in b["text"]]
+            named = list(b["named"])
+            blank = [i for i, x in enumerate(named) if x is None]
+            if blank:
+                scorer: sm.Scorer = _once(key, lambda: sm.Scorer(sent.value))  # type: ignore[assignment, union-attr]
+                for i, x in zip(blank, scorer.documents([texts[i] for i in blank]), strict=True):
+                    named[i] = x
             out = []
-            for text, named, counts, at in zip(b["text"], b["named"], b["counts"], b["at"], strict=True):
+            for parts, areas, counts, at in zip(texts, named, b["counts"], b["at"], strict=True):
                 if len(features.rows) > features.most:
                     features.clear()
-                parts = sm.sentences(text)
                 weight = counts * min(1.0, weighed / max(1, len(parts)))
-                out += [((at + i) % shards, features.sentence_rows(w), np.asarray(named, np.float32), weight) for i, w in enumerate(parts)]
+                out += [((at + i) % shards, features.sentence_rows(w), np.asarray(areas, np.float32), weight) for i, w in enumerate(parts)]
             yield pd.DataFrame(out, columns=["shard", "rows", "named", "weight"])
 
     # a document's sentences go to shards in turn, from a place of its own where it may have fewer than there are shards
@@ -91,9 +105,34 @@ def _learnable(docs: DataFrame, how: Training, shards: int) -> DataFrame:
     return docs.select("text", "named", "counts", at.cast("int").alias("at")).mapInPandas(cut, "shard int, rows array<int>, named array<float>, weight float")
 
 
+_GRADIENT = ["weight", "ids", "t", "o", "b"]
+_GRADIENT_SCHEMA = "weight double, ids binary, t binary, o binary, b binary"
+#: So many gradients are summed up by the driver; more are first summed up among the executors.
+_FEW = 24
+
+
+def _packed(weight: float, grads: list[np.ndarray]) -> pd.DataFrame:
+    ids = np.flatnonzero(grads[0].any(axis=1)).astype(np.int32)
+    return pd.DataFrame([(weight, ids.tobytes(), grads[0][ids].tobytes(), grads[1].tobytes(), grads[2].tobytes())], columns=_GRADIENT)
+
+
+def _summed(parts, areas: int) -> tuple[float, list[np.ndarray]]:
+    """The sum of packed gradients, always in the same order, so that it is the same each time."""
+    grads = [np.zeros((sm.ROWS, sm.WIDTH), np.float32), np.zeros((sm.WIDTH, areas), np.float32), np.zeros(areas, np.float32)]
+    for weight, ids, t, o, b in sorted(parts, key=lambda p: (p[0], bytes(p[4]))):
+        grads[0][np.frombuffer(ids, np.int32)] += np.frombuffer(t, np.float32).reshape(-1, sm.WIDTH)
+        grads[1] += np.frombuffer(o, np.float32).reshape(sm.WIDTH, areas)
+        grads[2] += np.frombuffer(b, np.float32)
+    return sum(p[0] for p in parts), grads
+
+
+def _partitions(spark: SparkSession, how: Training) -> int:
+    return max(how.partitions, spark.sparkContext.defaultParallelism)
+
+
 def _fit(spark: SparkSession, tables: list[DataFrame], areas: int, how: Training) -> sm.Model:
     model, before = sm.Model.new(areas), None
-    sc = spark.sparkContext
+    sc, partitions = spark.sparkContext, _partitions(spark, how)
     for stage, rounds in enumerate(how.rounds):
         adam = sm.Adam(model, how.rate)
         if stage:
@@ -113,20 +152,21 @@ def _fit(spark: SparkSession, tables: list[DataFrame], areas: int, how: Training
                     total = grads if total is None else [x + y for x, y in zip(total, grads, strict=True)]
                     weight += n
                 if total is not None:
-                    ids = np.flatnonzero(total[0].any(axis=1)).astype(np.int32)
-                    yield pd.DataFrame([(weight, ids.tobytes(), total[0][ids].tobytes(), total[1].tobytes(), total[2].tobytes())], columns=["weight", "ids", "t", "o", "b"])
+                    yield _packed(weight, total)
+
+            def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+                parts = [p for b in batches for p in b[_GRADIENT].itertuples(index=False, name=None)]
+                if parts:
+                    yield _packed(*_summed(parts, areas))
 
-            parts = tables[k % len(tables)].mapInPandas(shard_gradient, "weight double, ids binary, t binary, o binary, b binary").collect()
+            found = tables[k % len(tables)].mapInPandas(shard_gradient, _GRADIENT_SCHEMA)
+            if partitions > _FEW:
+                found = found.repartition(math.isqrt(partitions)).mapInPandas(combine, _GRADIENT_SCHEMA)
+            parts = [tuple(r) for r in found.collect()]
             sent.destroy()
             if not parts:
                 continue
-            grads = [np.zeros_like(x) for x in model.parts()]
-            whole = sum(p.weight for p in parts)
-            for p in sorted(parts, key=lambda p: (p.weight, bytes(p.b))):
-                ids = np.frombuffer(p.ids, np.int32)
-                grads[0][ids] += np.frombuffer(p.t, np.float32).reshape(-1, sm.WIDTH)
-                grads[1] += np.frombuffer(p.o, np.float32).reshape(sm.WIDTH, areas)
-                grads[2] += np.frombuffer(p.b, np.float32)
+            whole, grads = _summed(parts, areas)
             adam.step(model, [g / whole for g in grads])
     return model
 
@@ -140,7 +180,7 @@ def score(spark: SparkSession, documents: DataFrame, model: sm.Model, columns: l
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer: sm.Scorer = _once(key, lambda: sm.Scorer(sent.value))  # type: ignore[assignment]
         for b in batches:
-            yield b[columns].assign(named=[x.astype(np.float32) for x in scorer.documents(list(b["text"]))])
+            yield b[columns].assign(named=[x.astype(np.float32) for x in scorer.documents([sm.sentences(t) for t in b["text"]])])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.select(*columns).schema)
     return kept.mapInPandas(run, f"{fields}, named array<float>")
@@ -159,24 +199,25 @@ def fit_subjects(spark: SparkSession, documents: DataFrame, labels: DataFrame, a
     vector = F.array(*(F.array_contains("subjects", a).cast("float") for a in areas))
     taught = documents.join(named.select("doc_id", vector.alias("named")), "doc_id").where(F.length("text") > 0)
 
-    def tables(work: Workspace, docs: DataFrame, shards: int = how.shards) -> list[DataFrame]:
+    def tables(work: Workspace, docs: DataFrame, shards: int, guess: sm.Model | None = None) -> list[DataFrame]:
         path = f"{work.path}/sentences"
-        _learnable(docs.repartition(how.partitions, "doc_id"), how, shards).write.partitionBy("shard").mode("overwrite").parquet(path)
+        _learnable(docs, how, shards, guess).write.partitionBy("shard").mode("overwrite").parquet(path)
         schema = "rows array<int>, named array<float>, weight float, shard int"
         one = spark.read.schema(schema).parquet(path)
-        return [one.where(F.col("shard") == s).coalesce(how.partitions) for s in range(shards)]
+        return [one.where(F.col("shard") == s).coalesce(_partitions(spark, how)) for s in range(shards)]
 
     work = Workspace(spark, "subjects")
     taught = work.write(taught, "taught")
     plain = F.lit(1.0).alias("counts")
-    model = _fit(spark, tables(work, taught.select("*", plain)), len(areas), how)
+    model = _fit(spark, tables(work, taught.select("*", plain).repartition(how.partitions, "doc_id"), how.shards), len(areas), how)
     if how.unlabelled:
-        rest = documents.where(F.length("text") > 0).join(taught.select("doc_id"), "doc_id", "left_anti")
-        parts = max(1.0, rest.count() / how.unlabelled)  # times a pass over ``unlabelled`` documents
-        guessed = score(spark, rest, model, ["doc_id", "text"]).select("*", plain)
-        both = guessed.unionByName(taught.select("doc_id", "text", "named", F.lit(parts).alias("counts")))
+        rest = documents.where(F.length("text") > 0).join(taught.select("doc_id"), "doc_id", "left_anti").select("doc_id", "text", F.lit(None).cast("array<float>").alias("named"), plain)
+        others = rest.count()
+        weight = max(1.0, others / how.unlabelled)  # of a labelled document
+        both = rest.unionByName(taught.select("doc_id", "text", "named", F.lit(weight).alias("counts")))
+        shards = min(how.most_shards, max(how.shards, math.ceil(others / how.shard)))
         more = Workspace(spark, "subjects")
-        model = _fit(spark, tables(more, both, math.ceil(how.shards * parts)), len(areas), how)
+        model = _fit(spark, tables(more, both, shards, model), len(areas), how)
         more.drop("sentences")
     for name in ("sentences", "taught"):
         work.drop(name)

@@ -68,7 +68,7 @@ def test_scorer_equals_the_plain_way():
         s = [features.sentence_rows(w) for w in sm.sentences(t)]
         want.append(list(sm.document_areas(sm.probabilities(model, sm.hidden(model, sm.batch_of(s)))) if s else [False] * 3))
     scorer = sm.Scorer(model, most=10)
-    assert [list(x) for x in scorer.documents(texts, at_once=3)] == want
+    assert [list(x) for x in scorer.documents([sm.sentences(t) for t in texts], at_once=3)] == want
 
 
 def test_a_quarter_of_the_sentences():
@@ -123,5 +123,18 @@ def test_words_of_unlabelled_documents_are_all_learned(spark, monkeypatch):
     monkeypatch.setattr(subjects, "_fit", lambda spark, tables, areas, how: seen.append([t.count() for t in tables]) or fit(spark, tables, areas, how))
     d = spark.createDataFrame([(i, "Court judge. Goal match.") for i in range(100)], "doc_id bigint, text string")
     labels = spark.createDataFrame([(i, "law") for i in range(10)], "doc_id bigint, subject string")
-    fit_subjects(spark, d, labels, ["law"], Training(unlabelled=30, rounds=(1, 1, 1), partitions=1, shards=1))
+    fit_subjects(spark, d, labels, ["law"], Training(unlabelled=30, shard=30, rounds=(1, 1, 1), partitions=1, shards=1))
     assert sum(seen[0]) == 20 and len(seen[1]) == 3 and sum(seen[1]) == 200 and min(seen[1]) > 20
+
+
+def test_gradients_summed_among_executors_give_the_same(spark, monkeypatch):
+    import millrace.llm.subjects as subjects
+
+    r = random.Random(3)
+    d = spark.createDataFrame([(i, make(r, [a])) for i, a in enumerate(sorted(WORDS) * 6)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, a) for i, a in enumerate(sorted(WORDS) * 6)], "doc_id bigint, subject string")
+    how = Training(rounds=(3, 1, 1), unlabelled=0, partitions=6, shards=1)
+    one = fit_subjects(spark, d, labels, sorted(WORDS), how)
+    monkeypatch.setattr(subjects, "_FEW", 2)
+    two = fit_subjects(spark, d, labels, sorted(WORDS), how)
+    assert all(np.allclose(x, y, atol=1e-4) for x, y in zip(one.parts(), two.parts(), strict=True))
