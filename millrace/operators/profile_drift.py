@@ -120,7 +120,7 @@ def value_counts(df: DataFrame, load: str = "load_id", skip: tuple[str, ...] = (
 class ValueCounts:
     """A value-count table kept in a folder all executors share; ``apply`` adds the delta of each load, ``take_back`` takes a load's away.
 
-    A delta lies in a part of its load's own, so a load is read or taken back without the others. Deltas lie as they came
+    Files are sorted by load, so a load is read or taken back without most of the others' rows. Deltas lie as they came
     until ``compact`` sums them up and drops values whose count is nought. Applying the same rows with sign 1 and -1 leaves
     the table as it was. Without ``path`` the table goes when the driver ends; with it, it can be opened again. One writer at a time.
     """
@@ -135,11 +135,10 @@ class ValueCounts:
     def _deltas(self) -> list[int]:
         return numbered(self.spark, f"{self.path}/deltas")
 
-    def _add(self, delta: DataFrame, number: int | None = None) -> None:
-        """Write one signed delta, each load in a part of its own; large loads are spread over several files."""
-        number = max(self._deltas(), default=-1) + 1 if number is None else number
-        part = F.coalesce(F.concat(F.lit("of "), F.col("load_id")), F.lit("none"))
-        delta.select(*_COUNTS, part.alias("load")).hint("rebalance", "load").write.partitionBy("load").parquet(f"{self.path}/deltas/{number}")
+    def _add(self, delta: DataFrame) -> None:
+        """Write the signed deltas of some loads; they are where their values were counted, so nothing is shuffled again."""
+        number = max(self._deltas(), default=-1) + 1
+        delta.select(*_COUNTS).sortWithinPartitions("load_id").write.parquet(f"{self.path}/deltas/{number}")
 
     def apply(self, df: DataFrame, sign: int = 1, load: str = "load_id", skip: tuple[str, ...] = ("load_id", "loaded_at")) -> None:
         """Add the deltas of all loads in ``df``, in one pass."""
@@ -158,10 +157,9 @@ class ValueCounts:
 
     def read(self, *loads: str) -> DataFrame:
         """The counts, of all loads or of some: a single delta as it is, more summed up."""
-        tables = [self.spark.read.schema(f"{_COUNT_SCHEMA}, load string").parquet(f"{self.path}/deltas/{k}") for k in self._deltas()]
+        tables = [self.spark.read.schema(_COUNT_SCHEMA).parquet(f"{self.path}/deltas/{k}") for k in self._deltas()]
         if loads:
-            tables = [t.where(F.col("load").isin([f"of {x}" for x in loads])) for t in tables]
-        tables = [t.select(*_COUNTS) for t in tables]
+            tables = [t.where(F.col("load_id").isin(*loads)) for t in tables]
         if not tables:
             return self.spark.createDataFrame([], _COUNT_SCHEMA)
         whole = reduce(DataFrame.unionByName, tables)
@@ -238,6 +236,10 @@ def metrics(counts: DataFrame, names: list[str], per_load: bool = True, patterns
     )
 
 
+#: Keeps numbers of bins above nought, so that they sort as texts.
+_SHIFT = 5000
+
+
 def _number_bin(x: Column) -> Column:
     """A whole number that rises with ``x``: 16 steps for each doubling, the same beyond 2**60 and below 2**-20.
 
@@ -248,10 +250,6 @@ def _number_bin(x: Column) -> Column:
     return F.when(x == 0, 0).when(x > 0, step).otherwise(-step)
 
 
-def _number_key(x: Column) -> Column:
-    return F.when(x.isNotNull(), F.lpad((_number_bin(x) + 5000).cast("string"), 5, "0"))
-
-
 def _runs(t: Column) -> Column:
     """The whole text with small letters as ``a``, capitals as ``A``, digits as ``9``, runs taken together."""
     plain = F.translate(t, _LOWER + _UPPER, "a" * 26 + "9" * 10 + "A" * 26)
@@ -267,7 +265,7 @@ def _format(runs: Column) -> Column:
 def _kinds(runs: Column) -> Column:
     """Which kinds of characters there are: small letters, capitals, digits, and each other character."""
     letters = F.concat(*(F.when(F.contains(runs, F.lit(k)), k).otherwise("") for k in "aA9"))
-    return F.concat(letters, F.array_join(F.array_sort(F.array_distinct(F.split(F.regexp_replace(runs, "[aA9]+", ""), ""))), ""))
+    return F.concat(letters, F.array_join(F.array_sort(F.array_distinct(F.split(F.translate(runs, "aA9", ""), ""))), ""))
 
 
 def _histograms(counts: DataFrame) -> DataFrame:
@@ -283,7 +281,7 @@ def _histograms(counts: DataFrame) -> DataFrame:
         "format": F.when(F.length("format") > 48, F.xxhash64("format").cast("string")).otherwise(F.col("format")),
         "classes": _kinds(F.col("runs")),
         "length": F.lpad(F.length("t").cast("string"), 10, "0"),
-        "number": _number_key(F.col("x")),
+        "number": F.when(F.col("x").isNotNull(), F.lpad((_number_bin(F.col("x")) + _SHIFT).cast("string"), 5, "0")),
     }
     pieces = F.array(*(F.struct(F.lit(w).alias("what"), b.alias("bin")) for w, b in bins.items()))
     return counts.select("load_id", "c", "n", F.inline(pieces)).where("bin is not null").groupBy("load_id", "c", "what", "bin").agg(F.sum("n").alias("n"))
@@ -291,9 +289,11 @@ def _histograms(counts: DataFrame) -> DataFrame:
 
 def _beside(h: DataFrame, following: DataFrame, by: list[str]) -> DataFrame:
     """Each load's counts ``b`` beside those ``a`` of the load before it; ``following`` has ``load_id, next``."""
-    now = h.select("load_id", *by, F.lit(0).cast("bigint").alias("a"), F.col("n").alias("b"))
-    then = h.join(following.where("next is not null"), "load_id").select(F.col("next").alias("load_id"), *by, F.col("n").alias("a"), F.lit(0).cast("bigint").alias("b"))
-    return now.unionByName(then).groupBy("load_id", *by).agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    both = h.join(following, "load_id", "left")
+    zero = F.lit(0).cast("bigint")
+    sides = F.array(F.struct(F.col("load_id"), zero.alias("a"), F.col("n").alias("b")), F.struct(F.col("next").alias("load_id"), F.col("n").alias("a"), zero.alias("b")))
+    sides = both.select(*by, F.inline(F.when(F.col("next").isNull(), F.slice(sides, 1, 1)).otherwise(sides)))
+    return sides.groupBy("load_id", *by).agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
 
 
 def _tests(work: Workspace, counts: DataFrame, following: DataFrame) -> DataFrame:
@@ -316,9 +316,9 @@ def _tests(work: Workspace, counts: DataFrame, following: DataFrame) -> DataFram
     upto = W.partitionBy("load_id", "c", "what").orderBy("bin").rowsBetween(W.unboundedPreceding, 0)
     curve = pairs.where("what in ('number', 'length')").withColumn("ua", F.sum("a").over(upto)).withColumn("ub", F.sum("b").over(upto))
     within = W.partitionBy("load_id", "c", "bin").orderBy("x").rowsBetween(W.unboundedPreceding, 0)
-    inside = _beside(counts.where("x is not null").select("load_id", "c", _number_key(F.col("x")).alias("bin"), "x", "n"), following, ["c", "bin", "x"])
+    inside = _beside(counts.where("x is not null").select("load_id", "c", _number_bin(F.col("x")).alias("bin"), "x", "n"), following, ["c", "bin", "x"])
     inside = inside.select("load_id", "c", "bin", F.sum("a").over(within).alias("wa"), F.sum("b").over(within).alias("wb"))
-    below = curve.where("what = 'number'").select("load_id", "c", "bin", (F.col("ua") - F.col("a")).alias("fa"), (F.col("ub") - F.col("b")).alias("fb"), "na", "nb")
+    below = curve.where("what = 'number'").select("load_id", "c", (F.col("bin").cast("bigint") - _SHIFT).alias("bin"), (F.col("ua") - F.col("a")).alias("fa"), (F.col("ub") - F.col("b")).alias("fb"), "na", "nb")
     distance = lambda a, b: F.abs(a / F.col("na") - b / F.col("nb")).alias("d")
     numbers = inside.join(below, ["load_id", "c", "bin"]).select("load_id", "c", F.lit("number").alias("what"), distance(F.col("fa") + F.col("wa"), F.col("fb") + F.col("wb")), "na", "nb")
     curve = curve.where("what = 'length'").select("load_id", "c", "what", distance(F.col("ua"), F.col("ub")), "na", "nb").unionByName(numbers)
