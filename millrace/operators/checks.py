@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 RESULT = (
@@ -81,19 +82,22 @@ def run_checks(df: DataFrame, clauses: Sequence[Clause]) -> DataFrame:
 def samples(df: DataFrame, clauses: Sequence[Clause], order: Sequence[Column], most: int = 5) -> DataFrame:
     """``check_id, sample_failing``: the first ``most`` failing rows of each clause with a ``sample``, in ``order``.
 
-    Each clause is a top-k: tasks keep ``most`` rows each, nothing is sorted as a whole.
+    One pass for all clauses: a row gives an entry for each clause it violates, and ranking keeps ``most`` of each clause in every
+    task before anything is shuffled.
     """
-    parts = []
-    for c in clauses:
-        if c.sample is not None:
-            top = df.where(_number(c.violations) > 0).orderBy(*order).limit(most)
-            parts.append(top.agg(F.collect_list(c.sample.cast("string")).alias("sample_failing")).select(F.lit(c.check_id).alias("check_id"), "sample_failing"))
-    if not parts:
+    with_sample = [c for c in clauses if c.sample is not None]
+    if not with_sample:
         raise ValueError("no clause has a sample")
-    whole = parts[0]
-    for p in parts[1:]:
-        whole = whole.unionByName(p)
-    return whole
+    entries = F.array(*(F.when(_number(c.violations) > 0, F.struct(F.lit(i).alias("i"), c.sample.cast("string").alias("v"))) for i, c in enumerate(with_sample)))
+    keys = [k.alias(f"o{i}") for i, k in enumerate(order)]
+    failing = df.select(*keys, F.inline(F.filter(entries, lambda e: e.isNotNull())))
+    rank = F.row_number().over(W.partitionBy("i").orderBy(*(f"o{i}" for i in range(len(keys)))))
+    top = failing.withColumn("r", rank).where(F.col("r") <= most)  # at most so many of each clause leave a task
+    found = top.groupBy("i").agg(F.transform(F.array_sort(F.collect_list(F.struct("r", "v"))), lambda x: x["v"]).alias("s"))
+    names = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(c.check_id).alias("check_id")) for i, c in enumerate(with_sample)))
+    ids = df.sparkSession.range(1).select(F.inline(names))
+    none = F.array().cast("array<string>")
+    return ids.join(found, "i", "left").select("check_id", F.coalesce("s", none).alias("sample_failing"))
 
 
 def with_samples(spark: SparkSession, df: DataFrame, clauses: Sequence[Clause], order: Sequence[Column], most: int = 5) -> DataFrame:

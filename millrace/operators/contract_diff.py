@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# Attributes of a field that are compared.
+# Attributes of a field that are compared, and bounds of shares and of percentages.
 ATTRIBUTES = ("type", "required", "format", "pattern", "minimum", "maximum", "minLength", "maxLength", "minItems", "maxItems", "enum")
+SHARE, HUNDRED = (-0.001, 1.001), 99
 
 
 def flatten_schema(schema: dict, at: str = "") -> Iterable[tuple[str, str, str | None]]:
@@ -77,7 +78,7 @@ def diff(rows: DataFrame) -> DataFrame:
     bounds = rows.where("attribute in ('minimum', 'maximum')")
     before = versions.join(bounds.withColumnRenamed("version", "before"), ["contract_id", "before"]).groupBy("contract_id", "version", "path").agg(number("value", "minimum").alias("a0"), number("value", "maximum").alias("a1"))
     after = bounds.groupBy("contract_id", "version", "path").agg(number("value", "maximum").alias("b1"))
-    scale = before.join(after, ["contract_id", "version", "path"]).where("a0 >= -0.001 and a1 <= 1.001 and b1 >= 99").select("contract_id", "version", "path", F.lit(True).alias("scaled"))
+    scale = before.join(after, ["contract_id", "version", "path"]).where((F.col("a0") >= SHARE[0]) & (F.col("a1") <= SHARE[1]) & (F.col("b1") >= HUNDRED)).select("contract_id", "version", "path", F.lit(True).alias("scaled"))
     attributes = attributes.join(scale, ["contract_id", "version", "path"], "left")
     kept = attributes.where("not (coalesce(scaled, false) and attribute = 'minimum')")
     scaled = F.coalesce("scaled", F.lit(False)) & (F.col("attribute") == "maximum")
@@ -85,15 +86,19 @@ def diff(rows: DataFrame) -> DataFrame:
 
 
 def concerned(changes: DataFrame, subscriptions: DataFrame) -> DataFrame:
-    """``contract_id, version, subscriber_id, path, field``: breaking changes that touch a registered field.
+    """``contract_id, version, subscriber_id, path, field, reason``: breaking changes that touch a registered field.
 
-    A change touches a field that is any leading part of its path, without ``items`` and ``properties``: an equi-join on the parts.
+    A change touches a field if one is the other or a leading part of it, without ``items`` and ``properties``, or if the field, or any leading part
+    of it, is found anywhere in the path. Schemas are compared within their contract, so the pairs are as many as their fields.
     """
-    plain = F.regexp_replace("path", r"\.(items|properties)(?=\.|$)", "")
-    parts = F.split(plain, r"\.")
-    heads = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, F.lit(1), i), "."))
-    hits = changes.where("breaking").select("contract_id", "version", "path", F.explode(heads).alias("field"))
-    return hits.join(subscriptions.select("contract_id", "subscriber_id", "field").distinct(), ["contract_id", "field"]).select("contract_id", "version", "subscriber_id", "path", "field")
+    plain = F.regexp_replace(F.regexp_replace("path", r"\.properties\.", "."), r"\.items\.", ".")
+    field = F.trim("field")
+    heads = F.transform(F.sequence(F.lit(1), F.size(F.split(field, r"\."))), lambda i: F.array_join(F.slice(F.split(field, r"\."), F.lit(1), i), "."))
+    # a leading part that is empty says nothing
+    hit = F.exists(heads, lambda h: (F.length(h) > 0) & F.contains(F.col("plain"), h)) | F.contains(F.col("path"), field)
+    wanted = subscriptions.where(F.length(field) > 0).select("contract_id", "subscriber_id", "field", *([c for c in ("reason",) if c in subscriptions.columns])).distinct()
+    rows = changes.where("breaking").select("contract_id", "version", "path", plain.alias("plain"))
+    return rows.join(wanted, "contract_id").where(hit).drop("plain").select("contract_id", "version", "subscriber_id", "path", *wanted.columns[2:])
 
 
 def verdict(changes: DataFrame) -> DataFrame:
@@ -103,9 +108,11 @@ def verdict(changes: DataFrame) -> DataFrame:
     )
 
 
-def infer_kinds(df: DataFrame, column: str, first: int | None = 200) -> DataFrame:
-    """``key, kinds``: the kinds of the values of each key of a variant object, nulls ignored; of the first rows or (None) of all."""
-    rows = df if first is None else df.limit(first)
+def infer_kinds(df: DataFrame, column: str, first: int | None = None, order: str | None = None) -> DataFrame:
+    """``key, kinds``: the kinds of the values of each key of a variant object, nulls ignored; of all rows, or of the ``first`` in ``order``."""
+    if first is not None and order is None:
+        raise ValueError("the first rows are a matter of their order")
+    rows = df if first is None else df.orderBy(order).limit(first)
     entries = rows.select(F.explode(F.try_variant_get(F.col(column), "$", "map<string,variant>")).alias("key", "v"))
     kind: Column = F.regexp_extract(F.schema_of_variant("v"), "^[A-Z]+", 0)
     return entries.where(~F.is_variant_null("v")).groupBy("key").agg(F.array_sort(F.collect_set(kind)).alias("kinds"))

@@ -7,21 +7,49 @@ import os
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..sources.shared import Workspace
+
 QUANTILES = (0.25, 0.5, 0.75, 0.95, 0.99)
 
 
 def numeric_profile(df: DataFrame, value: Column, by: list[str] | None = None) -> DataFrame:
     """``n, min, max, mean, stddev, p25 ... p99`` of the non-null values: exact, quantiles interpolated, population deviation.
 
-    Percentiles keep counts per distinct value, so repeated values cost nothing; an empty group has no row, an empty table
-    one row of nulls and ``n`` 0.
+    Values are counted, sorted by ranges and written; a quantile is looked up in the one part that holds its rank, by the totals of the parts
+    before it. So no task holds a group, however many different values it has. An empty group has no row, an empty
+    table one row of nulls and ``n`` 0.
     """
-    rows = df.select(*(by or []), value.cast("double").alias("v")).where("v is not null")
-    aggs = [F.count("v").alias("n"), F.min("v").alias("min"), F.max("v").alias("max"), F.avg("v").alias("mean"), F.stddev_pop("v").alias("stddev"), F.percentile("v", F.array(*map(F.lit, QUANTILES))).alias("q")]
-    out = rows.groupBy(*by).agg(*aggs) if by else rows.agg(*aggs)
-    return out.select(*(by or []), "n", "min", "max", "mean", "stddev", *(F.col("q")[i].alias(f"p{round(q * 100)}") for i, q in enumerate(QUANTILES)))
+    work = Workspace(df.sparkSession, "profile")
+    # a struct is never null, so groups of null keys meet like any other
+    rows = df.select(F.struct(*(by or [F.lit(0).alias("all")])).alias("g"), value.cast("double").alias("v")).where("v is not null")
+    counts = rows.groupBy("g", "v").agg(F.count(F.lit(1)).alias("k"))
+    counts = work.write(counts.repartitionByRange("g", "v").withColumn("part", F.spark_partition_id()), "counts")
+    sums = counts.groupBy("g").agg(F.sum("k").alias("n"), F.min("v").alias("min"), F.max("v").alias("max"), (F.sum(F.col("v") * F.col("k")) / F.sum("k")).alias("mean"))
+    sums = work.write(sums, "sums")
+    near = counts.join(sums.select("g", "mean"), "g")
+    spread = near.groupBy("g").agg(F.sqrt(F.sum(F.pow(F.col("v") - F.col("mean"), 2) * F.col("k")) / F.sum("k")).alias("stddev"))
+    before = W.partitionBy("g").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    parts = counts.groupBy("g", "part").agg(F.sum("k").alias("here")).withColumn("ahead", F.coalesce(F.sum("here").over(before), F.lit(0)))
+    at = [F.lit(q) * (F.col("n") - 1) for q in QUANTILES]
+    ranks = F.array_distinct(F.flatten(F.array(*(F.array(F.floor(a), F.ceil(a)) for a in at))))
+    placed = parts.join(sums.select("g", F.explode(ranks).alias("rank")), "g").where("rank >= ahead and rank < ahead + here").select("g", "part", "ahead", "rank")
+    placed = work.write(placed, "placed")
+    held = counts.join(placed.select("g", "part").distinct(), ["g", "part"], "left_semi")
+    upto = W.partitionBy("g", "part").orderBy("v").rowsBetween(W.unboundedPreceding, 0)
+    inside = held.withColumn("upto", F.sum("k").over(upto)).join(placed, ["g", "part"]).where("rank >= ahead + upto - k and rank < ahead + upto")
+    found = inside.groupBy("g").agg(F.map_from_entries(F.collect_list(F.struct("rank", "v"))).alias("at"))  # ten ranks at most
+    pick = lambda r: F.try_element_at("at", r.cast("bigint"))
+    quantiles = [(pick(F.floor(a)) + (a - F.floor(a)) * (pick(F.ceil(a)) - pick(F.floor(a)))).alias(f"p{round(q * 100)}") for a, q in zip(at, QUANTILES, strict=True)]
+    out = sums.join(spread, "g").join(found, "g").select(*(F.col(f"g.{c}").alias(c) for c in by or []), "n", "min", "max", "mean", "stddev", *quantiles)
+    return out if by else _one_row(out)
+
+
+def _one_row(one: DataFrame) -> DataFrame:
+    """The row of a table of at most one, or a row of nulls with ``n`` 0."""
+    return one.agg(*(F.max(c).alias(c) for c in one.columns)).withColumn("n", F.coalesce("n", F.lit(0)))
 
 
 def mean_drift(batch: DataFrame, baseline: DataFrame, keys: list[str]) -> DataFrame:
@@ -76,9 +104,13 @@ class Baselines:
         return spark.createDataFrame(rows, "key string, mean double, std double")
 
 
-def unit_interval_notes(profile: DataFrame, margin: float = 0.05) -> DataFrame:
+# Bounds within which numbers look like shares, and how near an end their mean is suspicious.
+SHARE, MARGIN = (-0.001, 1.001), 0.05
+
+
+def unit_interval_notes(profile: DataFrame, margin: float = MARGIN) -> DataFrame:
     """Rows of a profile whose values look like shares of 0 to 1 but whose mean hugs an end."""
-    unit = (F.col("min") >= -0.001) & (F.col("max") <= 1.001)
+    unit = (F.col("min") >= SHARE[0]) & (F.col("max") <= SHARE[1])
     note = F.when(F.col("mean") <= margin, "mean near 0").when(F.col("mean") >= 1 - margin, "mean near 1")
     return profile.where(unit).withColumn("note", note).where("note is not null")
 

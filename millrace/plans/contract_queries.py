@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import predicates as p
-from ..operators import checks, contract_diff, contracts, datasets, json_schema, lineage, matching, numeric_drift, quality, reporting, sequences, vectors
+from ..operators import checks, contract_diff, contracts, datasets, json_schema, lineage, matching, numeric_drift, quality, reporting, runner, sequences, vectors
 from ..operators.checks import Clause
 from ..sources import json_lines
 from ..sources.tables import table
@@ -59,6 +59,72 @@ def cross_verdict_targets(spark: SparkSession, folder: str) -> DataFrame:
     return matching.missing_references(table(spark, folder, "verdicts").select("verdict_id", "target_ref"), F.col("target_ref"), files, "path")
 
 
+# --- whole validations ------------------------------------------------------------------------------------------------
+
+_BASELINES = [
+    ("intake::extracted_facts.confidence.mean", 0.9, 0.03), ("intake::processing_time_ms.mean", None, 10.0), ("bench::confidence.mean", 0.72, 0.04), ("log::payload.bytes.mean", 30000.0, 9000.0),
+]
+
+
+def _intents(spark: SparkSession, folder: str) -> DataFrame:
+    """Logged violations as intents: the place they hint at and those of their chain of causes are the code that they refer to."""
+    log = table(spark, folder, "demo_blame")
+    hint = F.when(F.col("blame_hint").isNotNull(), F.array(F.struct(F.col("blame_hint.file").alias("file"), F.col("blame_hint.line_start").alias("line_start"), F.col("blame_hint.line_end").alias("line_end"), F.lit(1.0).alias("confidence"))))
+    chain = F.transform("blame_chain", lambda b: F.struct(b["file_path"].alias("file"), F.lit(1).cast("bigint").alias("line_start"), b["rank"].alias("line_end"), b["confidence_score"].alias("confidence")))
+    return log.select(
+        F.col("violation_id").alias("intent_id"), F.flatten(F.filter(F.array(hint, chain), lambda a: a.isNotNull())).alias("code_refs"),
+        F.filter(F.array("severity"), lambda s: s.isNotNull()).alias("governance_tags"), F.col("detected_at").alias("created_at"), "delivery_id",
+    )
+
+
+def checks_intents(spark: SparkSession, folder: str) -> DataFrame:
+    return checks.run_checks(_intents(spark, folder), datasets.intents()).select(*_SHOWN)
+
+
+def drift_clauses(spark: SparkSession, folder: str) -> DataFrame:
+    """Drift of every watched number of four datasets: against a baseline, against one that is no number, and where none is held."""
+    baselines = spark.createDataFrame(_BASELINES, "key string, mean double, std double")
+    tables = {"extractions": ("intake", table(spark, folder, "extractions")), "verdicts": ("bench", table(spark, folder, "verdicts")), "events": ("log", table(spark, folder, "event_log")), "intents": ("plans", _intents(spark, folder))}
+    parts = [runner.drift_results(df, runner.metrics(n), baselines, c) for n, (c, df) in tables.items()]
+    whole = parts[0]
+    for more in parts[1:]:
+        whole = whole.unionByName(more)
+    return whole.select(*_SHOWN)
+
+
+def checks_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Files that intents refer to against those of all lineage snapshots."""
+    nodes = table(spark, folder, "lineage_snapshots").select(F.explode("nodes").alias("n")).where("n.type = 'FILE'")
+    return runner.missing_files_result(_intents(spark, folder), nodes.select(F.col("n.node_id").alias("path"))).select(*_SHOWN)
+
+
+def checks_payload(spark: SparkSession, folder: str) -> DataFrame:
+    schema = {"type": "object", "required": ["doc_id", "status"], "properties": {"doc_id": {"type": "string"}, "status": {"enum": ["filed", "waiting"]}, "bytes": {"type": "integer", "minimum": 1000}}}
+    return runner.payload_result(table(spark, folder, "event_log"), schema, "FileReceived").select(*_SHOWN)
+
+
+def cross_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """References between datasets, as results."""
+    t = lambda n: table(spark, folder, n)
+    return runner.cross_results(_intents(spark, folder), t("verdicts"), t("extractions"), t("lineage_snapshots")).select(*_SHOWN)
+
+
+def validation_extractions(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole validation of one dataset: unreadable lines, required fields, checks, unique ids and drift in one table of results."""
+    lines = table(spark, folder, "raw_records").where("dataset = 'schema_evolution_demo'")
+    results = runner.run_validation(
+        spark, "extractions", table(spark, folder, "extractions"), contract_id="intake", lines=lines, required=["doc_id", "source_path", "extraction_model"],
+        baselines=spark.createDataFrame(_BASELINES, "key string, mean double, std double"),
+    )
+    return results.groupBy(*_SHOWN).agg(F.count(F.lit(1)).alias("n"))
+
+
+def anomalies_of_kind(spark: SparkSession, folder: str) -> DataFrame:
+    """Values of event records that are there but of a wrong kind."""
+    v = json_lines.records(table(spark, folder, "raw_records").where("dataset = 'events'"))
+    return runner.type_anomalies(v, "v", {"payload": ["OBJECT"], "metadata": ["OBJECT"], "sequence_number": ["BIGINT"], "schema_version": ["STRING"], "payload.bytes": ["BIGINT", "DECIMAL", "DOUBLE"]})
+
+
 # --- checks of the star schema ---------------------------------------------------------------------------------------
 
 
@@ -174,10 +240,11 @@ def json_payload_range(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def json_schema_payload(spark: SparkSession, folder: str) -> DataFrame:
-    """Payloads of events against a JSON Schema, on the JSON of the struct."""
+    """Payloads of events against a JSON Schema, on the columns of the struct."""
     schema = {"type": "object", "required": ["doc_id", "status"], "properties": {"doc_id": {"type": "string"}, "status": {"type": "string", "enum": ["filed", "waiting", "broken"]}, "bytes": {"type": "integer", "minimum": 100}}}
-    bad = ~json_schema.text_valid(F.to_json("payload"), schema)
-    return table(spark, folder, "event_log").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("invalid"))
+    events = table(spark, folder, "event_log")
+    bad = ~json_schema.column_valid(events, "payload", schema)
+    return events.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("invalid"))
 
 
 def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
@@ -316,14 +383,31 @@ _SUBSCRIPTIONS = [
 ]
 
 
-def registry_match(spark: SparkSession, folder: str) -> DataFrame:
-    """Subscribers concerned by each logged violation; ids without their first word, as a dataset's name."""
+#: What ids of the logged checks may start with.
+_FAMILIES = ("alder", "birch", "cedar", "dogwood", "elm", "larch")
+
+
+def _logged(spark: SparkSession, folder: str) -> DataFrame:
     v = table(spark, folder, "demo_blame").where("violation_id is not null and check_id is not null")
-    v = v.select(F.col("delivery_id").alias("violation_id"), F.col("source_contract_id").alias("contract_id"), F.regexp_replace(F.lower(F.trim("check_id")), r"^[a-z]+\.", "").alias("check_id"))
-    found = matching.concerned_subscribers(v, spark.createDataFrame(_SUBSCRIPTIONS, "contract_id string, subscriber_id string, field string, reason string"))
+    return v.select(F.col("delivery_id").alias("violation_id"), F.col("source_contract_id").alias("contract_id"), F.lower(F.trim("check_id")).alias("check_id"))
+
+
+def registry_match(spark: SparkSession, folder: str) -> DataFrame:
+    """Subscribers concerned by each logged violation."""
+    found = matching.concerned_subscribers(_logged(spark, folder), spark.createDataFrame(_SUBSCRIPTIONS, "contract_id string, subscriber_id string, field string, reason string"), _FAMILIES)
     return found.select("violation_id", "subscriber_id", F.array_join("fields", ",").alias("fields"))
 
 
+def registry_rule(spark: SparkSession, folder: str) -> DataFrame:
+    """Which registered fields concern which check ids, with the families of the declared datasets and ids across them."""
+    ids = _logged(spark, folder).select(F.regexp_replace("check_id", r"^[a-z]+", "week3").alias("check_id"))
+    across = ids.select(F.regexp_replace("check_id", r"^week3\.", F.lit("cross.week2.")).alias("check_id")).unionByName(ids.select(F.concat(F.lit("cross.ingest."), F.col("check_id")).alias("check_id")))
+    ids = ids.unionByName(across).unionByName(ids.select(F.concat(F.lit("runner.schema.required."), F.substring_index("check_id", ".", -1)).alias("check_id"))).distinct()
+    fields = spark.createDataFrame([(f,) for f in ("facts", "facts.score", "refs.known", "duration.min", "runner.schema.required", "cross.ingest", "order", "score", " ", "known")], "field string")
+    pairs = ids.withColumn("_", F.lit(1)).join(F.broadcast(fields.withColumn("_", F.lit(1))), "_")  # ten fields
+    return pairs.where(matching.field_concerns_check(F.col("field"), F.col("check_id"))).select("check_id", "field")
+
+
 _OLD = {"doc_id": {"type": "string", "required": True}, "confidence": {"type": "number", "minimum": 0, "maximum": 1}, "facts": {"type": "array", "items": {"properties": {"text": {"type": "string"}, "page": {"type": "integer"}}}}, "gone": {"type": "object", "properties": {"a": {"type": "string"}}}}
 _NEW = {"doc_id": {"type": "integer", "required": True}, "confidence": {"type": "number", "minimum": 0, "maximum": 100}, "facts": {"type": "array", "items": {"properties": {"text": {"type": "string", "maxLength": 9}}}}, "extra": {"type": "string"}, "must": {"type": "string", "required": True}}
 
@@ -334,10 +418,12 @@ def schema_diff_paths(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def inferred_kinds(spark: SparkSession, folder: str) -> DataFrame:
-    """The kinds of each top-level key of all event records that came as text."""
-    v = json_lines.parsed(table(spark, folder, "raw_records").where("dataset = 'events'")).where("issue is null")
-    kinds = contract_diff.infer_kinds(v, "v", first=None)
-    return kinds.select("key", F.array_join("kinds", ",").alias("kinds"))
+    """The kinds of each top-level key of all records of each dataset that came as text."""
+    v = json_lines.parsed(table(spark, folder, "raw_records")).where("issue is null")
+    name = lambda k: F.when(k.isin("DECIMAL", "DOUBLE", "FLOAT"), "NUMBER").otherwise(k)
+    joined = F.array_join(F.array_sort(F.array_distinct(F.transform("kinds", name))), ",")
+    kinds = [contract_diff.infer_kinds(v.where(F.col("dataset") == d), "v").select(F.lit(d).alias("dataset"), "key", joined.alias("kinds")) for d in ("events", "schema_evolution_demo")]
+    return kinds[0].unionByName(kinds[1])
 
 
 # --- results rolled up ---------------------------------------------------------------------------------------------------
@@ -456,7 +542,7 @@ def relational_tests(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def json_schema_verdicts(spark: SparkSession, folder: str) -> DataFrame:
-    """Verdicts against a JSON Schema with free keys, on their JSON."""
+    """Verdicts against a JSON Schema with free keys, on their columns."""
     schema = {
         "type": "object", "required": ["verdict_id", "overall_verdict", "scores", "overall_score"],
         "properties": {
@@ -464,8 +550,8 @@ def json_schema_verdicts(spark: SparkSession, folder: str) -> DataFrame:
             "scores": {"type": "object", "minProperties": 3, "additionalProperties": {"type": "object", "required": ["score"], "properties": {"score": {"type": "integer", "minimum": 1, "maximum": 5}, "evidence": {"type": "array", "items": {"type": "string"}}}}},
         },
     }
-    raw = F.to_json(F.struct("verdict_id", "overall_verdict", "overall_score", "confidence", "scores"))
-    return table(spark, folder, "verdicts").groupBy("load_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(~json_schema.text_valid(raw, schema)).alias("invalid"))
+    verdicts = table(spark, folder, "verdicts").select("load_id", F.struct("verdict_id", "overall_verdict", "overall_score", "confidence", "scores").alias("v"))
+    return verdicts.groupBy("load_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(~json_schema.column_valid(verdicts, "v", schema)).alias("invalid"))
 
 
 def drawn_contract(spark: SparkSession, folder: str) -> DataFrame:

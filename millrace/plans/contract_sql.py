@@ -233,8 +233,8 @@ dated AS (SELECT r.*, greatest(0, date_diff('day', DATE '2024-01-01' + CAST(subs
 SELECT CAST(substr(start, 2) AS BIGINT) AS violation_id, node, hops, CAST(days AS BIGINT) AS days, greatest(0.0, round(1 - 0.1::DOUBLE * days - 0.2::DOUBLE * hops, 4)) AS score FROM dated""",
     "downstream_consumers": "SELECT consumer, count(*) AS edges FROM (SELECT CASE WHEN starts_with(e.target, 'table::') THEN 'table::*' ELSE e.target END AS consumer FROM (SELECT unnest(edges) AS e FROM lineage_snapshots) x WHERE e.target IS NOT NULL) y GROUP BY 1",
     "registry_match": f"""
-WITH v AS (SELECT delivery_id AS violation_id, source_contract_id AS contract_id, regexp_replace(lower(trim(check_id)), '^[a-z]+\\.', '') AS check_id FROM demo_blame WHERE violation_id IS NOT NULL AND check_id IS NOT NULL),
-t AS (SELECT *, regexp_replace(regexp_replace(check_id, '^(week[0-9]|langsmith)\\.', ''), '\\.(range|drift_baseline|statistical_drift)$', '') AS tail FROM v)
+WITH v AS (SELECT delivery_id AS violation_id, source_contract_id AS contract_id, lower(trim(check_id)) AS check_id FROM demo_blame WHERE violation_id IS NOT NULL AND check_id IS NOT NULL),
+t AS (SELECT *, substr(check_id, strpos(check_id, '.') + 1) AS tail FROM v)
 SELECT violation_id, subscriber_id, string_agg(DISTINCT f, ',' ORDER BY f) AS fields FROM t JOIN {_SUBS} ON s.contract_id = t.contract_id AND {_TOUCHES} GROUP BY 1, 2""",
     "schema_diff_paths": """
 SELECT * FROM (VALUES ('confidence', 'scale_changed', 'maximum', true), ('doc_id', 'changed', 'type', true), ('extra', 'added', NULL, false), ('facts.items.properties.page', 'removed', NULL, true),

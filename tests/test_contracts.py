@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import predicates as p
 from millrace.functions.text import instant, packed_id, unpacked_id, uuid_key
-from millrace.operators import checks, contract_diff, datasets, json_schema, lineage, matching, numeric_drift, quality, reporting, sequences, vectors
+from millrace.operators import checks, contract_diff, datasets, json_schema, lineage, matching, numeric_drift, quality, reporting, runner, sequences, vectors
 from millrace.operators.checks import Clause
 from millrace.sources import json_lines, sinks
 from millrace.streaming.event_windows import check_stream, tumbling_counts
@@ -151,9 +151,61 @@ def test_registry(spark):
     assert field("extracted_facts.non_empty", "week3.extracted_facts.confidence.range") and field("doc_id", "week3.doc_id.unique") and not field("entities", "week3.doc_id.unique")
     w = spark.createDataFrame([("a", 1.0), ("a.b", 2.0), ("c", 3.0)], "prefix string, weight double")
     assert rows(matching.longest_prefix(spark.createDataFrame([("a.b.c",), ("a.x",), ("q",), ("",), (None,)], "k string"), "k", w)) == sorted([("a.b.c", 2.0), ("a.x", 1.0), ("q", 1.0), ("", 1.0), (None, 1.0)], key=repr)
-    subs = spark.createDataFrame([("c", "s", "f", "r", "AUDIT"), ("d", "", None, "r", "LOUD")], "contract_id string, subscriber_id string, field string, reason string, validation_mode string")
+    assert field("processing_time_ms.min", "week3.processing_time_ms.statistical_drift") and field("target_ref.x", "cross.week2.target_ref.in_week1_code_refs") and field("confidence.bounds", "week2.confidence.range")
+    assert not field("", "week3.a") and not field(" ", "week3.a") and field("cross.ingest", "cross.ingest.week1.line_3") and field("runner.schema.required", "runner.schema.other")
+    schema = "subscription int, contract_id string, subscriber_id string, subscriber_team string, fields_consumed array<string>, validation_mode string, contact string, breaking_fields array<struct<field:string,reason:string>>"
+    good = (1, "c", "s", "t", ["a"], "audit", "x@y", [("f", "r")])
+    subs = spark.createDataFrame([good, (2, "d", "", None, ["a", " "], "LOUD", " ", [("f", ""), (None, "r")]), (3, None, "s", "t", None, "WARN", "x", [])], schema)
     problems = matching.invalid_subscriptions(subs, spark.createDataFrame([("c",)], "contract_id string"))
-    assert rows(problems, "problem") == [("no field",), ("no subscriber_id",), ("unknown contract",), ("unknown validation_mode",)]
+    assert rows(problems.groupBy("subscription").count()) == [(2, 8), (3, 3)]
+    assert matching.invalid_subscriptions(subs.where("subscription = 1")).count() == 0
+    flat = subs.where("subscription = 1").select("contract_id", "subscriber_id", "subscriber_team", "validation_mode", "contact", F.explode("breaking_fields").alias("b")).select("*", "b.field", "b.reason")
+    told = matching.subscriber_summaries(spark.createDataFrame([("v", "c", "week3.f.range"), ("w", "c", "week3.g"), ("x", None, None)], "violation_id string, contract_id string, check_id string"), flat)
+    got = {r.violation_id: [(s.subscriber_id, [tuple(m) for m in s.matched_breaking_fields]) for s in r.subscribers] for r in told.collect()}
+    assert got == {"v": [("s", [("f", "r")])], "w": [], "x": []}
+
+
+def test_runner(spark, tmp_path):
+    """Drift against a baseline: the cases of a mean 2.5 and 4 deviations off, none held, no number held, no values."""
+    held = spark.createDataFrame([("k::confidence.mean", 100.0, 1.0), ("bad::confidence.mean", None, 1.0)], "key string, mean double, std double")
+    batch = lambda *x: spark.createDataFrame([(v,) for v in x], "confidence double")
+    watched = lambda: [runner.Metric("m", "confidence", F.array("confidence"))]
+    drift = lambda df, contract: one(runner.drift_results(df, watched(), held, contract).select("check_id", "status", "severity"))
+    assert drift(batch(102.0, 103.0), "k") == ("m.statistical_drift", "WARN", "MEDIUM") and drift(batch(104.0), "k") == ("m.statistical_drift", "FAIL", "HIGH")
+    assert drift(batch(100.5), "k") == ("m.statistical_drift", "PASS", "LOW") and drift(batch(), "k") == ("m.statistical_drift", "FAIL", "HIGH")
+    assert drift(batch(1.0), "new") == ("m.drift_baseline", "PASS", "LOW") and drift(batch(1.0), "bad") == ("m.statistical_drift", "ERROR", "LOW")
+    assert runner.drift_results(batch(), [runner.Metric("m", "confidence", F.array().cast("array<double>"), optional=True)], held, "k").count() == 0
+    store = numeric_drift.Baselines(f"{tmp_path}/b.json")
+    runner.settle_baselines(None, batch(1.0, 3.0), watched(), "k", store)
+    assert store.load() == {"k::confidence.mean": {"mean": 2.0, "std": 1.0}}
+    assert rows(runner.empty_result(batch()), "status") == [("FAIL",)] and runner.empty_result(batch(1.0)).count() == 0
+    lines = spark.createDataFrame([(1, '{"a": 1}'), (2, "{"), (3, "// note"), (4, "[]")], "line_no bigint, raw string")
+    whole = runner.run_validation(spark, "runs", spark.createDataFrame([], "id string, run_type string, start_time string, end_time string, total_tokens bigint, prompt_tokens bigint, completion_tokens bigint, total_cost double"), lines=lines, required=["id"])
+    assert rows(whole.where("status = 'ERROR'"), "check_id") == [("runner.jsonl.line_2",), ("runner.jsonl.line_4",)] and whole.count() == 7
+    assert rows(runner.run_validation(spark, "poems", batch(1.0)), "check_id") == [("runner.unsupported_contract",)]
+
+
+def test_profile_of_groups_and_edges(spark):
+    import numpy as np
+
+    values = [float((i * 7919) % 1013) for i in range(500)] + [3.0] * 200
+    df = spark.createDataFrame([("a", v) for v in values] + [(None, 1.0), (None, None), ("b", -2.5)], "g string, v double").repartition(7)
+    got = {r.g: r for r in numeric_drift.numeric_profile(df, F.col("v"), ["g"]).collect()}
+    assert got.keys() == {"a", None, "b"} and got[None].p50 == 1.0 and got["b"].stddev == 0.0
+    for q, name in ((25, "p25"), (50, "p50"), (75, "p75"), (95, "p95"), (99, "p99")):
+        assert abs(got["a"][name] - np.percentile(values, q)) < 1e-9
+    assert abs(got["a"].stddev - np.std(values)) < 1e-9
+    empty = numeric_drift.numeric_profile(df.where("false"), F.col("v")).first()
+    assert empty.n == 0 and empty.p50 is None
+
+
+def test_schema_on_columns_equals_schema_on_json(spark):
+    schema = {"type": "object", "required": ["a", "m"], "properties": {"a": {"type": ["integer", "string"], "minimum": 2}, "s": {"type": "string", "minLength": 2, "pattern": "^x"}, "d": {"type": "integer"}, "l": {"type": "array", "items": {"type": "string"}, "minItems": 1},
+              "m": {"type": "object", "minProperties": 1, "additionalProperties": {"type": "object", "required": ["k"], "properties": {"k": {"enum": [1, 2]}}}}}, "additionalProperties": False}
+    data = [(1, "xy", 1.0, ["q"], {"z": (1,)}), (2, "xy", 1.5, ["q"], {"z": (2,)}), (2, "x", 2.0, [None], {"z": (2,)}), (3, "xz", None, None, {"z": (None,)}), (3, None, None, [], {"z": (1,)}), (9, "xxx", 3.0, ["a", "b"], {"z": (1,), "y": None}), (None, "xx", None, None, {"z": (1,)}), (5, None, None, None, {}), (5, None, 4.0, None, None), (5, "xq", 4.0, ["w"], {"z": (3,)}), (7, "xq", 4.0, ["w"], {"z": (2,), "u": (1,)})]
+    df = spark.createDataFrame(data, "a bigint, s string, d double, l array<string>, m map<string,struct<k:bigint>>")
+    got = df.select(json_schema.row_valid(df, schema).alias("t"), json_schema.text_valid(F.to_json(F.struct("*")), schema).alias("j")).collect()
+    assert [r.t for r in got] == [r.j for r in got] and {r.t for r in got} == {True, False}
 
 
 def test_schema_versions(spark):
