@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import predicates as p
-from ..operators import checks, contract_diff, contracts, datasets, json_schema, lineage, matching, numeric_drift, quality, reporting, runner, sequences, vectors
+from ..operators import attribution, checks, contract_diff, contracts, datasets, json_schema, lineage, matching, numeric_drift, quality, reporting, runner, sequences, vectors
 from ..operators.checks import Clause
 from ..sources import json_lines
 from ..sources.tables import table
@@ -354,7 +354,7 @@ def _geography(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
 def lineage_upstream(spark: SparkSession, folder: str) -> DataFrame:
     nodes, edges = _geography(spark, folder)
     starts = table(spark, folder, "supplier").select(F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("start"))
-    return lineage.upstream_candidates(lineage.reach(spark, edges, starts, upstream=True), nodes).select("start", "node", "hops", F.col("rank").cast("bigint").alias("rank"))
+    return lineage.nearest(spark, edges, nodes, starts).select("start", "node", "hops", F.col("rank").cast("bigint").alias("rank"))
 
 
 def blast_radius(spark: SparkSession, folder: str) -> DataFrame:
@@ -408,6 +408,32 @@ def registry_rule(spark: SparkSession, folder: str) -> DataFrame:
     return pairs.where(matching.field_concerns_check(F.col("field"), F.col("check_id"))).select("check_id", "field")
 
 
+_STARTS = (attribution.Start("alder.", "pipeline::"), attribution.Start("elm.", "table::"), attribution.Start("birch.", "file::", of="FILE"), attribution.Start("", "pipeline::", kind="answer_shape"))
+
+
+def _last_graph(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Nodes and edges of the last snapshot with nodes."""
+    last = datasets.latest_snapshot(table(spark, folder, "lineage_snapshots").where("size(nodes) > 0"))
+    nodes = last.select(F.posexplode("nodes").alias("position", "n")).select("position", "n.*")
+    return nodes, last.select(F.inline("edges"))
+
+
+def attributed_violations(spark: SparkSession, folder: str) -> DataFrame:
+    """Every logged violation with where its walk begins, its nearest file, the score of that and what lies below it, in the last lineage graph."""
+    log = table(spark, folder, "demo_blame").where("violation_id is not null")
+    v = log.select(F.col("delivery_id").alias("violation_id"), F.lower(F.trim("check_id")).alias("check_id"), "type", F.col("source_contract_id").alias("contract_id"), "records_failing")
+    chain = log.select(F.inline("blame_chain")).where("file_path is not null")
+    commits = chain.groupBy("file_path").agg(F.max(F.struct("commit_timestamp", "commit_hash", "author", "commit_message")).alias("c")).select("file_path", "c.*")
+    nodes, edges = _last_graph(spark, folder)
+    subs = spark.createDataFrame([(*s, "team", "WARN", "x") for s in _SUBSCRIPTIONS], "contract_id string, subscriber_id string, field string, reason string, subscriber_team string, validation_mode string, contact string")
+    found = attribution.attribute_violations(spark, v, nodes, edges, subs, commits, F.lit("2017-03-01 00:00:00").cast("timestamp"), _STARTS, _FAMILIES)
+    top = F.get("blame_chain", F.lit(0))
+    return found.select(
+        "violation_id", "start", F.coalesce(F.size("blame_chain"), F.lit(0)).alias("candidates"), top["file_path"].alias("file_path"), F.size("blast_radius.subscribers").alias("subscribers"),
+        F.size("blast_radius.affected_nodes").alias("files"), F.size("blast_radius.affected_pipelines").alias("pipelines"), F.col("blast_radius.contamination_depth").alias("depth"),
+    )
+
+
 _OLD = {"doc_id": {"type": "string", "required": True}, "confidence": {"type": "number", "minimum": 0, "maximum": 1}, "facts": {"type": "array", "items": {"properties": {"text": {"type": "string"}, "page": {"type": "integer"}}}}, "gone": {"type": "object", "properties": {"a": {"type": "string"}}}}
 _NEW = {"doc_id": {"type": "integer", "required": True}, "confidence": {"type": "number", "minimum": 0, "maximum": 100}, "facts": {"type": "array", "items": {"properties": {"text": {"type": "string", "maxLength": 9}}}}, "extra": {"type": "string"}, "must": {"type": "string", "required": True}}
 

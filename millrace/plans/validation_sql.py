@@ -68,9 +68,41 @@ def _wrong(path: str, kinds: str) -> str:
     return f"SELECT '{path}' AS path, count(*) FILTER (json_type(j, '$.{path}') IS NOT NULL AND json_type(j, '$.{path}') NOT IN ('NULL', {kinds})) AS anomalies FROM {_RECORDS} r WHERE dataset = 'events'"
 
 
+_GRAPH = """
+snap AS (SELECT * FROM lineage_snapshots WHERE len(nodes) > 0 ORDER BY received_at DESC, snapshot_id DESC LIMIT 1),
+nodes AS (SELECT n.node_id AS id, n.type AS type, n.metadata AS m, pos FROM (SELECT unnest(nodes) AS n, generate_subscripts(nodes, 1) AS pos FROM snap) x WHERE n.node_id IS NOT NULL),
+edges AS (SELECT DISTINCT e.source AS s, e.target AS t FROM (SELECT unnest(edges) AS e FROM snap) x WHERE e.source IS NOT NULL AND e.target IS NOT NULL)"""
+
+
+def _first(condition: str) -> str:
+    return f"(SELECT id FROM nodes WHERE {condition} ORDER BY pos LIMIT 1)"
+
+
+_ATTRIBUTED = f"""
+WITH RECURSIVE {_GRAPH},
+v AS (SELECT delivery_id AS violation_id, lower(trim(check_id)) AS c, type, source_contract_id AS contract_id FROM demo_blame WHERE violation_id IS NOT NULL),
+started AS (SELECT *, coalesce(CASE WHEN starts_with(c, 'alder.') THEN {_first("contains(id, 'pipeline::')")} END, CASE WHEN starts_with(c, 'elm.') THEN {_first("contains(id, 'table::')")} END,
+   CASE WHEN starts_with(c, 'birch.') THEN {_first("contains(id, 'file::') AND type = 'FILE'")} END, CASE WHEN type = 'answer_shape' THEN {_first("contains(id, 'pipeline::')")} END, {_first("true")}) AS start FROM v),
+up AS (SELECT DISTINCT start, start AS node, 0 AS hops FROM started WHERE start IS NOT NULL UNION SELECT u.start, e.s, u.hops + 1 FROM up u JOIN edges e ON e.t = u.node WHERE u.hops < 60),
+above AS (SELECT start, node, min(hops) AS hops FROM up GROUP BY 1, 2),
+ranked AS (SELECT a.*, row_number() OVER (PARTITION BY start ORDER BY hops, node) AS r FROM above a WHERE hops >= 1 AND node IN (SELECT id FROM nodes WHERE type = 'FILE')),
+tops AS (SELECT s.start, coalesce(min(node) FILTER (r = 1), {_first("type = 'FILE'")}) AS nearest, CASE WHEN count(r) = 0 AND {_first("type = 'FILE'")} IS NOT NULL THEN 1 ELSE least(count(r), 5) END AS candidates
+  FROM (SELECT DISTINCT start FROM started WHERE start IS NOT NULL) s LEFT JOIN ranked r ON r.start = s.start GROUP BY s.start),
+down AS (SELECT DISTINCT nearest, nearest AS node, 0 AS hops FROM tops WHERE nearest IS NOT NULL UNION SELECT d.nearest, e.t, d.hops + 1 FROM down d JOIN edges e ON e.s = d.node WHERE d.hops < 60),
+below AS (SELECT nearest, node, min(hops) AS hops FROM down GROUP BY 1, 2),
+hit AS (SELECT nearest, max(hops) AS depth, count(DISTINCT node) FILTER (hops > 0 AND n.type = 'FILE') AS files, count(DISTINCT node) FILTER (hops > 0 AND n.type IN ('PIPELINE', 'MODEL')) AS pipelines
+  FROM below b LEFT JOIN nodes n ON n.id = b.node GROUP BY nearest),
+told AS (SELECT violation_id, count(DISTINCT subscriber_id) AS n FROM ({CONTRACT["registry_match"]}) r GROUP BY 1)
+SELECT s.violation_id, s.start, CAST(coalesce(t.candidates, 0) AS INTEGER) AS candidates,
+  regexp_replace(coalesce(CASE WHEN trim(coalesce(f.m['path'], '')) <> '' THEN trim(replace(f.m['path'], chr(92), '/')) END, replace(t.nearest, chr(92), '/')), '^file::', '') AS file_path,
+  CAST(coalesce(told.n, 0) AS INTEGER) AS subscribers, CAST(coalesce(h.files, 0) AS INTEGER) AS files, CAST(coalesce(h.pipelines, 0) AS INTEGER) AS pipelines, CAST(coalesce(h.depth, 0) AS BIGINT) AS depth
+FROM started s LEFT JOIN tops t ON t.start = s.start LEFT JOIN hit h ON h.nearest = t.nearest LEFT JOIN told ON told.violation_id = s.violation_id
+LEFT JOIN (SELECT id, any_value(m) AS m FROM nodes GROUP BY id) f ON f.id = t.nearest"""
+
 _WHOLE = "'BIGINT', 'UBIGINT'"
 
 SQL = {
+    "attributed_violations": _ATTRIBUTED,
     "checks_intents": _INTENT_CHECKS,
     "drift_clauses": _DRIFT,
     "checks_files": _FILES,
