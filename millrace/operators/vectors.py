@@ -13,9 +13,34 @@ from ..sources.ship import ship
 
 
 def centroid(df: DataFrame, vector: str) -> DataFrame:
-    """``dim, mean``: the mean of each dimension, from 0; null vectors are left out. Partial sums per dimension meet, not vectors."""
-    flat = df.select(F.posexplode(F.transform(vector, lambda x: x.cast("double"))).alias("dim", "x"))
-    return flat.groupBy("dim").agg(F.avg("x").alias("mean"))
+    """``dim, mean``: the mean of each dimension, from 0, over the vectors that reach it; null vectors are left out.
+
+    Vectors are summed up in batches of rows where they lie, so what meets is one row per dimension and batch, not one per dimension and vector.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total, n = np.zeros(0), np.zeros(0, np.int64)
+        for b in batches:
+            rows = [np.asarray(x, dtype=np.float64) for x in b["v"] if x is not None]
+            width = max((len(x) for x in rows), default=0)
+            if width > len(total):
+                total, n = np.pad(total, (0, width - len(total))), np.pad(n, (0, width - len(n)))
+            alike = [x for x in rows if len(x) == width]
+            if alike:
+                block = np.stack(alike)
+                there = ~np.isnan(block)
+                total[:width] += np.where(there, block, 0).sum(0)
+                n[:width] += there.sum(0)
+            for x in rows:
+                if len(x) != width:
+                    there = ~np.isnan(x)
+                    total[: len(x)] += np.where(there, x, 0)
+                    n[: len(x)] += there
+        if len(total):
+            yield pd.DataFrame({"dim": np.arange(len(total), dtype=np.int32), "s": total, "n": n})
+
+    parts = df.select(F.transform(vector, lambda x: x.cast("double")).alias("v")).where("v is not null").mapInPandas(run, "dim int, s double, n bigint")
+    return parts.groupBy("dim").agg((F.sum("s") / F.nullif(F.sum("n"), F.lit(0))).alias("mean"))
 
 
 def cosine_drift(now: DataFrame, base: DataFrame, limit: float = 0.15) -> DataFrame:

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import predicates as p
-from ..operators import attribution, checks, contract_diff, contracts, datasets, json_schema, lineage, matching, numeric_drift, quality, reporting, runner, sequences, vectors
+from ..operators import ai_checks, attribution, checks, contract_diff, contracts, datasets, declared, json_schema, lineage, matching, migration, numeric_drift, quality, reporting, runner, sequences, vectors
 from ..operators.checks import Clause
-from ..sources import json_lines
+from ..sources import json_lines, synthetic
 from ..sources.tables import table
 from ..streaming.event_windows import tumbling_counts
 
@@ -314,7 +317,7 @@ def scale_injection(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def violation_rate_trend(spark: SparkSession, folder: str) -> DataFrame:
-    return _rounded(numeric_drift.rate_trend(table(spark, folder, "verdicts"), ~p.in_unit_interval(F.col("confidence")), 0.01), "rate")
+    return _rounded(numeric_drift.rate_trend(table(spark, folder, "verdicts"), ~p.in_unit_interval(F.col("confidence")), 0.01), "rate").drop("n")
 
 
 def embedding_centroid(spark: SparkSession, folder: str) -> DataFrame:
@@ -534,6 +537,37 @@ def repaired_facts(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", "load_id", f["fact_id"].alias("fact_id"), F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), c)), 4).alias("confidence"), F.coalesce(F.size(kept), F.lit(0)).cast("bigint").alias("refs"))
 
 
+_OUTPUT_SETTINGS = ai_checks.Settings(prompt_length=40)
+
+
+def prompt_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """Prompts that do not satisfy their schema, and so are not sent."""
+    return ai_checks.prompt_check(table(spark, folder, "extractions"), _OUTPUT_SETTINGS)[0]
+
+
+def output_schema_check(spark: SparkSession, folder: str) -> DataFrame:
+    """Structured outputs against their schema, as a rate and its trend."""
+    return ai_checks.verdict_check(table(spark, folder, "verdicts"), 0.05)
+
+
+def output_violation_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Log records of all outputs that do not satisfy their schema, and of the rising rate."""
+    verdicts = table(spark, folder, "verdicts")
+    return ai_checks.verdict_violations(verdicts, "verdicts", ai_checks.verdict_check(verdicts, 0.05), most=None)
+
+
+def trace_summary(spark: SparkSession, folder: str) -> DataFrame:
+    return ai_checks.trace_check(table(spark, folder, "runs"))[0]
+
+
+def text_drift(spark: SparkSession, folder: str) -> DataFrame:
+    """Hashed embeddings of all fact texts of the later loads against those of the first."""
+    facts = table(spark, folder, "extractions").select("load_id", F.explode("extracted_facts.text").alias("text"))
+    settings = ai_checks.Settings(sample=1 << 40, features=64)  # all texts
+    _, base = ai_checks.text_drift(facts.where("load_id <= 'ex-00-0001'"), "text", None, settings)
+    return ai_checks.text_drift(facts.where("load_id > 'ex-00-0001'"), "text", base, settings)[0]
+
+
 def tumbling_event_counts(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(tumbling_counts(table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp")), "ts", ["event_type"], "1 day", value="value"), "total").select(
         F.date_format("window_start", "yyyy-MM-dd").alias("day"), "event_type", "n", "total"
@@ -567,6 +601,61 @@ def relational_tests(spark: SparkSession, folder: str) -> DataFrame:
     return contracts.relational_tests(entities, ["doc_id", "entity_id", "name", "type"], ["entity_id"], {"type": datasets.ENTITY_TYPES})
 
 
+_TABLES = {"verdicts": "verdicts", "extractions": "extractions", "snapshots": "lineage_snapshots", "events": "event_log", "runs": "runs"}
+
+
+def declared_contracts(spark: SparkSession, folder: str) -> DataFrame:
+    """The contracts of five datasets, compiled from their schemas, as results."""
+    parts = [contracts.validate(table(spark, folder, t), replace(declared.CONTRACTS[n], rules=())).select(*_SHOWN) for n, t in _TABLES.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def declared_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """The quality rules of five datasets."""
+    parts = [quality.evaluate(table(spark, folder, t), declared.CONTRACTS[n].rules).select(F.lit(n).alias("dataset"), "rule", "status") for n, t in _TABLES.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def model_tests(spark: SparkSession, folder: str) -> DataFrame:
+    """The tests of the seven flat tables."""
+    return declared.run_models(declared.model_tables(table(spark, folder, "extractions"), table(spark, folder, "event_log")))
+
+
+def report_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Violations of the log and failing checks of a dataset as one list by priority."""
+    log = table(spark, folder, "demo_blame").select("check_id", "type", "severity", "message", "records_failing", "blame_hint")
+    return reporting.two_source_priorities(log, checks.run_checks(table(spark, folder, "extractions"), datasets.extractions())).select("check_id", "field", "severity", "records_failing", "position")
+
+
+def report_top(spark: SparkSession, folder: str) -> DataFrame:
+    return reporting.top_violations(report_rows(spark, folder)).select("check_id", "field", "severity", "records_failing")
+
+
+def weighted_score(spark: SparkSession, folder: str) -> DataFrame:
+    """The score of a dataset's checks with weights by prefix, one of them the default."""
+    worst = reporting.worst_failures(checks.run_checks(table(spark, folder, "extractions"), datasets.extractions()).select(*_SHOWN), ["records_failing"])
+    return reporting.health_score(reporting.weighted(worst, reporting.merged_weights({"default": 0.5, "week3.": 0.75}, {"week3.entities": 2, "week3.doc_id": True})), "weight")
+
+
+def injected_scale(spark: SparkSession, folder: str) -> DataFrame:
+    """The fault of a changed scale put into all extractions: the range check and the mean after it."""
+    df = synthetic.inject_scale(table(spark, folder, "extractions"))
+    held = spark.createDataFrame([("intake::extracted_facts.confidence.mean", 0.75, 0.15)], "key string, mean double, std double")
+    drift = runner.drift_results(df, runner.metrics("extractions")[:1], held, "intake")
+    return checks.run_checks(df, [c for c in datasets.extractions() if c.check_type == "range"]).unionByName(drift).select(*_SHOWN)
+
+
+def failure_modes(spark: SparkSession, folder: str) -> DataFrame:
+    """Who is hit by the fields that evolution reports call changed, how: each report is a version of its contract."""
+    v = F.col("v")
+    reports = json_lines.records(table(spark, folder, "raw_records").where("dataset = 'schema_evolution_demo'"))
+    fields = F.try_variant_get(v, "$.diff.breaking_changes", "array<variant>")
+    changes = reports.select(F.try_variant_get(v, "$.contract_id", "string").alias("contract_id"), F.concat_ws("#", "file_name", "line_no").alias("version"), F.explode(fields).alias("c"))
+    changes = changes.select("contract_id", "version", F.try_variant_get("c", "$.field", "string").alias("path"), F.lit("changed").alias("change"), F.lit(True).alias("breaking")).where("path is not null and contract_id is not null")
+    subs = spark.createDataFrame(_SUBSCRIPTIONS, "contract_id string, subscriber_id string, field string, reason string")
+    return migration.failure_modes(changes, subs).select("contract_id", "version", "subscriber_id", F.array_join("fields", ",").alias("fields"), "mode")
+
+
 def json_schema_verdicts(spark: SparkSession, folder: str) -> DataFrame:
     """Verdicts against a JSON Schema with free keys, on their columns."""
     schema = {

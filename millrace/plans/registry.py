@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import contract_queries, contract_sql, general_problems, general_sql, validation_sql
+from . import contract_queries, contract_sql, declared_sql, general_problems, general_sql, validation_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,4 +21,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return general_sql.SQL | contract_sql.SQL | validation_sql.SQL
+    return general_sql.SQL | contract_sql.SQL | validation_sql.SQL | declared_sql.SQL

@@ -99,10 +99,24 @@ SELECT s.violation_id, s.start, CAST(coalesce(t.candidates, 0) AS INTEGER) AS ca
 FROM started s LEFT JOIN tops t ON t.start = s.start LEFT JOIN hit h ON h.nearest = t.nearest LEFT JOIN told ON told.violation_id = s.violation_id
 LEFT JOIN (SELECT id, any_value(m) AS m FROM nodes GROUP BY id) f ON f.id = t.nearest"""
 
+_OUTPUT_BAD = """NOT coalesce(length(verdict_id) >= 1 AND length(target_ref) >= 1 AND length(rubric_id) >= 1 AND length(rubric_version) >= 1 AND scores IS NOT NULL AND cardinality(scores) >= 1
+  AND len([1 FOR s IN map_values(scores) IF NOT coalesce(s.score BETWEEN 1 AND 5 AND s.evidence IS NOT NULL AND s.notes IS NOT NULL AND len([1 FOR e IN s.evidence IF e IS NULL]) = 0, false)]) = 0
+  AND overall_verdict IN ('PASS', 'FAIL', 'WARN') AND overall_score IS NOT NULL AND confidence BETWEEN 0 AND 1 AND evaluated_at IS NOT NULL, false)"""
+
+_RATE = f"""SELECT count(*) AS total_outputs, count(*) FILTER ({_OUTPUT_BAD}) AS schema_violations, round(count(*) FILTER ({_OUTPUT_BAD}) / greatest(count(*), 1), 6) AS violation_rate, 0.05::DOUBLE AS baseline_violation_rate,
+  CASE WHEN count(*) FILTER ({_OUTPUT_BAD}) / greatest(count(*), 1) > 0.075 THEN 'rising' ELSE 'stable' END AS trend, CASE WHEN count(*) FILTER ({_OUTPUT_BAD}) / greatest(count(*), 1) > 0.075 THEN 'WARN' ELSE 'PASS' END AS status FROM verdicts"""
+
 _WHOLE = "'BIGINT', 'UBIGINT'"
 
 SQL = {
     "attributed_violations": _ATTRIBUTED,
+    "prompt_quarantine": "SELECT doc_id, source_path, left(coalesce(extracted_facts[1].text, ''), 40) AS content_preview FROM extractions WHERE coalesce(doc_id, '') = '' OR coalesce(source_path, '') = ''",
+    "output_schema_check": _RATE,
+    "output_violation_log": f"""
+SELECT 'llm_output_schema' AS type, 'week2.verdict_record.schema' AS check_id, 'CRITICAL' AS severity, 'verdicts' AS source_contract_id, verdict_id, CAST(1 AS BIGINT) AS records_failing FROM verdicts WHERE {_OUTPUT_BAD}
+UNION ALL SELECT 'llm_output_schema_trend', 'week2.verdict_record.violation_rate', 'WARNING', 'verdicts', NULL, schema_violations FROM ({_RATE}) r WHERE trend = 'rising'""",
+    "trace_summary": f"""
+SELECT (SELECT count(*) FROM runs) AS total_traces, count(*) FILTER (status = 'FAIL') AS checks_failed, CASE WHEN count(*) FILTER (status = 'FAIL') > 0 THEN 'FAIL' ELSE 'PASS' END AS status FROM ({CONTRACT["checks_runs"]}) c""",
     "checks_intents": _INTENT_CHECKS,
     "drift_clauses": _DRIFT,
     "checks_files": _FILES,
