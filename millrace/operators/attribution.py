@@ -85,7 +85,7 @@ def attribute_violations(
     files = candidates.select("node").distinct().join(nodes.select(F.col("node_id").alias("node"), "metadata").dropDuplicates(["node"]), "node", "left").select("node", node_path(F.col("node"), F.col("metadata")).alias("file_path"))
     files = files.join(commits, "file_path", "left")
     at = instant(commit_time(F.col("commit_timestamp")))
-    days = F.coalesce(F.greatest(F.lit(0.0), (F.unix_seconds(now) - F.unix_seconds(at)) / 86400.0), F.lit(float(UNKNOWN_DAYS)))
+    days = F.when(at.isNull(), float(UNKNOWN_DAYS)).otherwise(F.greatest(F.lit(0.0), (F.unix_seconds(now) - F.unix_seconds(at)) / 86400.0))
     known = {c: F.coalesce(c, F.lit(v)) for c, v in _UNKNOWN.items()}
     chain = candidates.join(files, "node").select("start", F.struct("rank", "file_path", *(v.alias(c) for c, v in known.items()), lineage.blame_score(days, F.col("hops")).alias("confidence_score")).alias("c"), F.when(F.col("rank") == 1, F.col("node")).alias("nearest"))
     chains = chain.groupBy("start").agg(F.array_sort(F.collect_list("c")).alias("blame_chain"), F.max("nearest").alias("nearest"))  # at most ``most`` rows

@@ -60,7 +60,11 @@ def drift_results(df: DataFrame, watched: Sequence[Metric], baselines: DataFrame
     ``baselines`` has ``key, mean, std``; see :class:`numeric_drift.Baselines`. One pass for all metrics. Without values the mean is 0.
     """
     spark = df.sparkSession
-    entries = F.flatten(F.filter(F.array(*(F.transform(m.values, lambda x, i=i: F.struct(F.lit(i).alias("i"), x.alias("x"))) for i, m in enumerate(watched))), lambda a: a.isNotNull()))
+
+    def numbered(i: int, values: Column) -> Column:
+        return F.transform(values, lambda x: F.struct(F.lit(i).alias("i"), x.alias("x")))
+
+    entries = F.flatten(F.filter(F.array(*(numbered(i, m.values) for i, m in enumerate(watched))), lambda a: a.isNotNull()))
     batch = df.select(F.inline(entries)).groupBy("i").agg(F.avg("x").alias("mean"), F.stddev_pop("x").alias("std"), F.count(F.lit(1)).alias("n"))
     names = [(i, m.check_id, m.column_name, m.optional, baseline_key(contract_id, m.column_name)) for i, m in enumerate(watched)]
     named = spark.createDataFrame(names, "i int, check_id string, column_name string, optional boolean, key string")
@@ -170,16 +174,18 @@ def type_anomalies(records: DataFrame, variant: str, kinds: Mapping[str, Sequenc
 
     ``kinds`` maps a path to kinds of ``schema_of_variant``: BIGINT, DECIMAL, DOUBLE, STRING, BOOLEAN, ARRAY, OBJECT. Nulls do not count.
     """
-    wrong = []
-    for path, wanted in kinds.items():
+
+    def is_wrong(v: Column, wanted: Sequence[str]) -> Column:
+        return v.isNotNull() & ~F.is_variant_null(v) & ~F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0).isin(*wanted)
+
+    def count(path: str, wanted: Sequence[str]) -> Column:
         head, star, tail = path.partition("[*]")
-        of = lambda v, wanted=wanted: v.isNotNull() & ~F.is_variant_null(v) & ~F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0).isin(*wanted)
-        if star:
-            parts = F.transform(F.try_variant_get(variant, f"$.{head}", "array<variant>"), lambda e, t=tail: F.try_variant_get(e, f"${t}", "variant"))
-            n = F.coalesce(F.size(F.filter(parts, of)), F.lit(0))
-        else:
-            n = of(F.try_variant_get(variant, f"$.{path}", "variant")).cast("int")
-        wrong.append(F.coalesce(F.sum(n), F.lit(0)).alias(path.replace(".", "_")))
+        if not star:
+            return is_wrong(F.try_variant_get(variant, f"$.{path}", "variant"), wanted).cast("int")
+        parts = F.transform(F.try_variant_get(variant, f"$.{head}", "array<variant>"), lambda e: F.try_variant_get(e, f"${tail}", "variant"))
+        return F.coalesce(F.size(F.filter(parts, lambda v: is_wrong(v, wanted))), F.lit(0))
+
+    wrong = [F.coalesce(F.sum(count(path, wanted)), F.lit(0)).alias(f"n{i}") for i, (path, wanted) in enumerate(kinds.items())]
     one = records.agg(*wrong)
-    rows = [F.struct(F.lit(path).alias("path"), F.col(path.replace(".", "_") if "[" not in path else f"`{path.replace('.', '_')}`").alias("anomalies")) for path in kinds]
+    rows = [F.struct(F.lit(path).alias("path"), F.col(f"n{i}").alias("anomalies")) for i, path in enumerate(kinds)]
     return one.select(F.inline(F.array(*rows)))

@@ -52,6 +52,20 @@ def quarantine(df: DataFrame, valid: Column, path: str) -> DataFrame:
     return df.where(good)
 
 
+def write_jsonl(rows: DataFrame, path: str) -> None:
+    """Rows as JSON lines, in as many files as there are parts; what was there is replaced."""
+    rows.write.mode("overwrite").json(path)
+
+
+def write_manifest(spark: SparkSession, patterns: dict[str, str], path: str) -> dict:
+    """The digests of the files of each named input as a document; they are computed where the files are read."""
+    document = {name: {r.file_name: r.sha256 for r in file_digests(spark, pattern).collect()} for name, pattern in patterns.items()}  # one row for each file
+    target = Path(path)
+    target.parent.mkdir(parents=True, exist_ok=True)
+    target.write_text(json.dumps(document, indent=2, sort_keys=True))
+    return document
+
+
 def file_digest(path: str) -> str:
     """The SHA-256 of a file of the driver, read in pieces."""
     h = hashlib.sha256()

@@ -17,7 +17,7 @@ def entity_kind(text: Column) -> Column:
 
 def capitalized_phrases(text: Column, most: int = 8, least: int = 3) -> Column:
     """The first ``most`` different runs of capitalized words of ``least`` characters or more, in order."""
-    found = F.regexp_extract_all(text, F.lit(r"\b[A-Z][A-Za-z&.\-]+(?:\s+[A-Z][A-Za-z&.\-]+)*"), F.lit(0))
+    found = F.regexp_extract_all(text, F.lit(r"\b[A-Z][A-Za-z&\-]+(?:\s+[A-Z][A-Za-z&\-]+)*"), F.lit(0))
     return F.slice(F.array_distinct(F.filter(found, lambda p: F.length(p) >= least)), 1, most)
 
 
