@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.shared import Workspace, numbered, remove
+from .skew import short
 
 _ENTRY = "array<struct<c:int,t:string,x:double>>"
 _COUNTS = ["load_id", "c", "key", "t", "x", "n"]
@@ -354,9 +355,17 @@ def _tests(work: Workspace, counts: DataFrame, following: DataFrame) -> DataFram
 
 
 def loads_in_order(df: DataFrame) -> DataFrame:
-    """``load_id, next``: each load with the one after it by ``loaded_at``. There is one row for each load."""
-    at = df.where("load_id is not null").groupBy("load_id").agg(F.min("loaded_at").alias("at"))
-    return at.select("load_id", F.lead("load_id").over(W.orderBy("at", "load_id")).alias("next"))
+    """``load_id, next``: each load with the one after it by ``loaded_at``, ties by id.
+
+    Order is found within days and then among days, so that no task takes all loads.
+    """
+    at = df.where("load_id is not null").groupBy(F.col("load_id").cast("string").alias("load_id")).agg(F.min("loaded_at").alias("at")).withColumn("day", F.to_date("at"))
+    at = at.withColumn("within", F.lead("load_id").over(W.partitionBy("day").orderBy("at", "load_id")))
+    days = at.groupBy("day").agg(F.min_by("load_id", F.struct("at", "load_id")).alias("first"))
+    # a row for each day that has a load
+    days = days.select("day", F.lead("first").over(W.orderBy("day")).alias("after"))
+    joined = at.join(days, at["day"].eqNullSafe(days["day"]))
+    return joined.select("load_id", F.coalesce("within", "after").alias("next"))
 
 
 def changed_columns(
@@ -367,7 +376,7 @@ def changed_columns(
     ``moving`` are columns that move on in time by themselves; of these only nulls, format and length count.
     """
     names = store.names or []
-    following = F.broadcast(store.work.write(following, "loads"))  # one row for each load
+    following = short(store.work.write(following, "loads"))
     tests = store.work.write(_tests(store.work, store.read(), following), "tests")
     # a load without a test differs by nought; the median is over all loads
     hundred = F.array(*(F.lit(i / 100) for i in range(101)))

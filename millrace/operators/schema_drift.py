@@ -244,14 +244,17 @@ def _inside(value, path: str, names: dict[str, str]):
     return out
 
 
-def _leaves(value, path: str, names: dict[str, str], out: dict[str, str]) -> None:
+def _leaves(value, path: str, names: dict[str, str], out: dict[str, str], kinds: dict[str, str]) -> None:
     if isinstance(value, dict) and value:
         for k, x in value.items():
-            _leaves(x, f"{path}.{k}" if path else k, names, out)
+            _leaves(x, f"{path}.{k}" if path else k, names, out, kinds)
     elif value is not None:
         value = _inside(value, path, names) if names and isinstance(value, list) else value
         first = _first(path, names)
-        out[path if first in out else first] = value if isinstance(value, str) else json.dumps(value)
+        to = path if first in out else first
+        out[to] = value if isinstance(value, str) else json.dumps(value)
+        whole = isinstance(value, int) and not isinstance(value, bool) and abs(value) < 1 << 63
+        kinds[to] = "integer" if whole else st.kind_of(value)
 
 
 def _project(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -266,18 +269,56 @@ def _project(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 parsed.clear() if len(parsed) > 10_000 else None
                 parsed[names] = json.loads(names)
             leaves: dict[str, str] = {}
-            _leaves(record, "", parsed[names], leaves)
-            out.append((dataset, feed, name, line, leaves))
-        yield pd.DataFrame(out, columns=["dataset", "feed", "file_name", "line_no", "fields"])
+            kinds: dict[str, str] = {}
+            _leaves(record, "", parsed[names], leaves, kinds)
+            out.append((dataset, feed, name, line, leaves, kinds))
+        yield pd.DataFrame(out, columns=["dataset", "feed", "file_name", "line_no", "fields", "kinds"])
 
 
 def consistent_table(spark: SparkSession, lines: DataFrame, changes: DataFrame) -> DataFrame:
-    """``dataset, feed, file_name, line_no, fields``: every record, with its fields under the names they first had.
+    """``dataset, feed, file_name, line_no, fields, kinds``: every record, with its fields under the names they first had.
 
     ``fields`` maps dotted paths to values as text, arrays as JSON whose objects have the first names, too; null values have no entry, objects are given by
-    their parts. All records are kept; lines that are no JSON objects are none.
+    their parts. ``kinds`` has the JSON kind of each, whole numbers as ``integer``. All records are kept; lines that are no JSON objects are none.
     """
     ship(spark)
     columns = ["dataset", "feed", "file_name", "line_no", "raw"]
     named = lines.select(*columns).join(projections(spark, lines, changes), ["feed", "file_name"])
-    return named.mapInPandas(_project, "dataset string, feed string, file_name string, line_no bigint, fields map<string,string>")
+    return named.mapInPandas(_project, "dataset string, feed string, file_name string, line_no bigint, fields map<string,string>, kinds map<string,string>")
+
+
+#: A table of more columns than this is taken for data whose keys are values.
+MOST_COLUMNS = 5_000
+
+
+def reconciled_types(table: DataFrame) -> DataFrame:
+    """``dataset, field, kinds, type``: the kinds that the values of each field have over all files, and the one type that holds them all.
+
+    Whole numbers are ``bigint``, with fractions ``double``, truth values ``boolean``; texts, lists and whatever comes in several kinds are ``string``.
+    """
+    seen = table.select("dataset", F.explode("kinds").alias("field", "kind")).distinct()
+    kinds = seen.groupBy("dataset", "field").agg(F.array_sort(F.collect_set("kind")).alias("kinds"))  # six at most
+    only = lambda *k: F.size(F.array_except("kinds", F.array(*map(F.lit, k)))) == 0
+    kind = F.when(only("integer"), "bigint").when(only("integer", "number"), "double").when(only("boolean"), "boolean").otherwise("string")
+    return kinds.select("dataset", "field", "kinds", kind.alias("type"))
+
+
+def typed_tables(spark: SparkSession, table: DataFrame) -> dict[str, DataFrame]:
+    """One table for each dataset of a :func:`consistent_table`: ``feed, file_name, line_no`` and a column for each field, named by its path and of its reconciled type.
+
+    Every value fits its column, so none is lost. The driver reads the list of fields.
+    """
+    types = reconciled_types(table).orderBy("dataset", "field").limit(MOST_COLUMNS + 1).collect()
+    if len(types) > MOST_COLUMNS:
+        raise ValueError(f"more than {MOST_COLUMNS} fields")
+    own = ["feed", "file_name", "line_no"]
+    columns: dict[str, list] = {}
+    for r in types:
+        taken = {c.lower() for c in own} | {x[0].lower() for x in columns.get(r.dataset, ())}
+        name = r.field
+        while name.lower() in taken:  # columns differ by more than case, and from those of the file
+            name += "_"
+        columns.setdefault(r.dataset, []).append((name, r.field, r.type))
+    return {
+        d: table.where(F.col("dataset") == d).select(*own, *(F.try_element_at("fields", F.lit(path)).cast(kind).alias(name) for name, path, kind in fields)) for d, fields in columns.items() if d is not None
+    }

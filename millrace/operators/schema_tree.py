@@ -14,6 +14,11 @@ MANY, LEAST_MANY = 48, 8
 _KINDS = {str: "string", bool: "boolean", int: "number", float: "number", list: "array", dict: "object"}
 
 
+def kind_of(value) -> str:
+    """The JSON kind of a value that is not null."""
+    return _KINDS[type(value)]
+
+
 def parse_record(raw: str | None) -> dict | None:
     """The JSON object of a line, or None if it is none; NaN and Infinity are no JSON. Halves of characters, which no text can hold, become question marks."""
 

@@ -159,10 +159,33 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return schema_drift.reported(p7_changes(spark, folder)).select("file_name", "field", "change_kind")
 
 
-def p7_table(spark: SparkSession, folder: str) -> DataFrame:
+def _consistent(spark: SparkSession, folder: str) -> DataFrame:
     lines = table(spark, folder, "raw_records")
-    changes = Workspace(spark, "changes").write(schema_drift.schema_changes(spark, lines), "changes")
-    return schema_drift.consistent_table(spark, lines, changes)
+    work = Workspace(spark, "consistent")
+    changes = work.write(schema_drift.schema_changes(spark, lines), "changes")
+    return work.write(schema_drift.consistent_table(spark, lines, changes), "table")
+
+
+def p7_table(spark: SparkSession, folder: str) -> DataFrame:
+    return _consistent(spark, folder).drop("kinds")
+
+
+def p7_table_sizes(spark: SparkSession, folder: str) -> DataFrame:
+    """How many records each file gives the consistent table and how many of their fields are filled; renaming loses none."""
+    filled = F.coalesce(F.sum(F.size("fields")), F.lit(0)).alias("filled")
+    return _consistent(spark, folder).groupBy("dataset", "file_name").agg(F.count(F.lit(1)).alias("records"), filled)
+
+
+def _typed(dataset: str):
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        return schema_drift.typed_tables(spark, _consistent(spark, folder))[dataset]
+
+    return run
+
+
+#: One table of each dataset, with a typed column for each field.
+p7_events = _typed("events")
+p7_reports = _typed("schema_evolution_demo")
 
 
 #: Times as text, which move on by themselves.

@@ -108,7 +108,17 @@ _RATE = f"""SELECT count(*) AS total_outputs, count(*) FILTER ({_OUTPUT_BAD}) AS
 
 _WHOLE = "'BIGINT', 'UBIGINT'"
 
+_RUNS = ("id", "name", "run_type", "inputs", "outputs", "error", "start_time", "end_time", "total_tokens", "prompt_tokens", "completion_tokens", "total_cost", "tags", "parent_run_id", "session_id")
+_LEAF = "CASE WHEN t.type = 'OBJECT' THEN len(json_keys(t.value)) = 0 ELSE t.type <> 'NULL' END AND NOT contains(t.fullkey, '[')"
+
 SQL = {
+    "required_fields_runs": " UNION ALL ".join(
+        f"SELECT 'runner.schema.required.{c}' AS check_id, 'required_field' AS check_type, 'ERROR' AS status, 'CRITICAL' AS severity, count(*) AS records_failing FROM runs WHERE {c} IS NULL HAVING count(*) > 0" for c in _RUNS
+    ),
+    "p7_table_sizes": f"""
+WITH records AS (SELECT dataset, file_name, line_no, raw FROM raw_records WHERE feed IS NOT NULL AND file_name IS NOT NULL AND json_valid(raw) AND json_type(raw) = 'OBJECT'),
+leaves AS (SELECT dataset, file_name, count(*) AS n FROM records, json_tree(raw) t WHERE {_LEAF} GROUP BY ALL)
+SELECT r.dataset, r.file_name, count(*) AS records, any_value(coalesce(l.n, 0)) AS filled FROM records r LEFT JOIN leaves l ON l.dataset = r.dataset AND l.file_name = r.file_name GROUP BY 1, 2""",
     "attributed_violations": _ATTRIBUTED,
     "prompt_quarantine": "SELECT doc_id, source_path, left(coalesce(extracted_facts[1].text, ''), 40) AS content_preview FROM extractions WHERE coalesce(doc_id, '') = '' OR coalesce(source_path, '') = ''",
     "output_schema_check": _RATE,

@@ -10,7 +10,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 @pytest.fixture(scope="session")
 def spark():
     s = (
-        SparkSession.builder.master("local[4]").appName("tests").config("spark.sql.shuffle.partitions", "4").config("spark.driver.memory", "4g")
+        SparkSession.builder.master("local[8]").appName("tests").config("spark.sql.shuffle.partitions", "4").config("spark.driver.memory", "4g")
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
@@ -43,15 +43,15 @@ def oracle():
 
     connections = {}
 
-    def compare(spark, name, query, sql, folder):
+    def compare(name, result, sql, folder):
         if folder not in connections:
             con = connections[folder] = duckdb.connect()
             for p in glob.glob(f"{folder}/*.parquet"):
                 con.execute(f"CREATE VIEW {os.path.basename(p)[:-8]} AS SELECT * FROM '{p}'")
         con = connections[folder]
-        df = query(spark, folder)
-        columns = sorted(df.columns)
-        got = norm(tuple(r[c] for c in columns) for r in df.collect())
+        names, found = result
+        columns = sorted(names)
+        got = norm(tuple(r[names.index(c)] for c in columns) for r in found)
         con.execute(sql)
         there = [d[0] for d in con.description]
         assert sorted(there) == columns
@@ -59,3 +59,19 @@ def oracle():
         assert got == want, f"{name}: {set(got) ^ set(want)}"
 
     return compare
+
+
+@pytest.fixture(scope="session")
+def run_queries():
+    """Runs queries several at a time, as each is small; gives columns and rows by name, or raises what one raised."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def run(spark, queries, folder):
+        def one(query):
+            df = query(spark, folder)
+            return df.columns, df.collect()
+
+        with ThreadPoolExecutor(6) as pool:
+            return {n: pool.submit(one, q) for n, q in queries.items()}
+
+    return run

@@ -191,3 +191,12 @@ def test_command_line_from_made_data_to_report(spark, tmp_path):
     assert report["data_health_score"] == 70.0 and report["violations"]["rows"][0]["check_id"] == "week3.extracted_facts.confidence.range"
     assert cli.main(["outputs", "--extractions", at("extractions.jsonl"), "--verdicts", at("verdicts.jsonl"), "--runs", at("runs.jsonl"), "--output", at("ai.json")]) == 0
     assert datasets.dispatch("x-extraction-y") == "extractions"
+
+
+def test_descriptions():
+    from millrace.operators.annotations import annotate
+
+    schema = {"a": {"type": "integer", "required": True, "minimum": 1}, "b": {"type": "string", "enum": ["x"]}}
+    plain = annotate(schema, {"a": {"min": 1, "max": 3, "mean": 2}})
+    assert plain == {"a": "integer; required; minimum 1; from 1 to 3, mean 2", "b": "string; optional; one of x"}
+    assert annotate(schema, None, [lambda s, p: 1 / 0, lambda s, p: {}, lambda s, p: {"b": "a letter", "z": "none"}]) == annotate(schema) | {"b": "a letter"}

@@ -7,7 +7,7 @@ import random
 import pytest
 from conftest import rows
 from millrace.operators import schema_tree as st
-from millrace.operators.schema_drift import consistent_table, reported, schema_changes
+from millrace.operators.schema_drift import consistent_table, reported, schema_changes, typed_tables
 
 SCHEMA = "dataset string, feed string, file_name string, line_no bigint, raw string, fields string"
 
@@ -114,3 +114,15 @@ def test_a_name_used_again(spark):
     got = {(r.file_name, r.line_no): r.fields for r in consistent_table(spark, df, schema_changes(spark, df)).collect()}
     assert got["f/1", 3] == {"run_id": ids[3]} and got["f/2", 3] == {"run_ref": ids[3], "run_id": "3"}
     assert got["g/1", 3] == {"run_id": ids[3], "k": "1"} and got["g/3", 0] == {"k": "1", "run_ref": note(1)}
+
+
+def test_typed_tables(spark):
+    df = lines(spark, {
+        "f/0": [{"n": 1, "x": 1, "t": "a", "ok": True, "l": [1], "line_no": 5, "N": 2}, {"n": 2, "x": 2.5}],
+        "f/1": [{"n": 3, "x": 3, "t": 7, "ok": None, "l": [2, 3], "line_no": 6, "N": 4}],
+    })
+    work = consistent_table(spark, df, schema_changes(spark, df))
+    got = typed_tables(spark, work)["d"]
+    assert dict(got.dtypes) == {"feed": "string", "file_name": "string", "line_no": "bigint", "N": "bigint", "l": "string", "line_no_": "bigint", "n_": "bigint", "ok": "boolean", "t": "string", "x": "double"}
+    assert rows(got, "file_name", "n_", "x", "t", "ok", "l", "line_no_") == sorted([("f/0", 1, 1.0, "a", True, "[1]", 5), ("f/0", 2, 2.5, None, None, None, None), ("f/1", 3, 3.0, "7", None, "[2, 3]", 6)], key=repr)
+    assert typed_tables(spark, work.limit(0)) == {}
