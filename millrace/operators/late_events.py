@@ -163,7 +163,11 @@ class PeriodLedger:
         return refused
 
     def close(self, now_micros: int) -> None:
-        """Close all days whose last moment for changes lies at or before ``now_micros``."""
+        """Close all days whose last moment for changes lies at or before ``now_micros``.
+
+        Of what has no readable ``occurred_at`` yet, events that were recorded before these days ended, or never, are given up: a copy
+        that still comes stands for itself. So what is open is never more than the open days.
+        """
         day, hour = 86_400_000_000, 3_600_000_000
         before = max(self.closed_before_day, (now_micros - self.late.closed_hours * hour) // day)
         held = self._open()
@@ -173,16 +177,16 @@ class PeriodLedger:
         at = f"{self.path}/closed/{before}"
         partials(held.where(done)).write.mode("overwrite").parquet(at)
         self._closed.append(before)
-        self._swap(held.where(~F.coalesce(done, F.lit(False))))
+        given_up = F.col("occurred").isNull() & F.coalesce(F.col("recorded") < F.lit(before * day), F.lit(True))
+        self._swap(held.where(~F.coalesce(done, F.lit(False)) & ~given_up))
         self.closed_before_day = before
 
     def read(self) -> DataFrame:
         """All periods, closed and open, combined from partials."""
         held = self._open()
-        parts = [self.spark.read.parquet(f"{self.path}/closed/{n}") for n in self._closed] + ([partials(held)] if held is not None else [])
-        if not parts:
+        if held is None:
             raise ValueError("no batch has been absorbed")
-        whole = parts[0]
-        for p in parts[1:]:
-            whole = whole.unionByName(p)
+        whole = partials(held)
+        if self._closed:  # one scan, however many times was closed
+            whole = whole.unionByName(self.spark.read.schema(whole.schema).parquet(*(f"{self.path}/closed/{n}" for n in self._closed)))
         return combine(whole, self.late)

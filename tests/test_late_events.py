@@ -75,3 +75,13 @@ def test_increments_equal_the_whole_in_any_order(spark, tmp_path):
     assert ledger.absorb(log(spark, event(99, A, base.isoformat(), base.isoformat()))) == 1  # closed
     assert rows(ledger.read()) == rows(whole)
     assert rows(changed_periods(whole)) == [r for r in rows(whole) if r[2] != r[3]]
+
+
+def test_what_cannot_be_dated_does_not_stay_open_for_ever(spark, tmp_path):
+    ledger = PeriodLedger(spark, f"file://{tmp_path}/ledger")
+    old, late = "2017-01-02T10:00:00Z", "2017-01-09T10:00:00Z"
+    ledger.absorb(log(spark, event(1, A, "n/a", old), event(2, B, None, None), event(3, C, "n/a", late), event(4, "x", old, old)))
+    ledger.close(int(datetime(2017, 1, 9, 12, tzinfo=timezone.utc).timestamp() * 1e6))
+    assert spark.read.parquet(f"{tmp_path}/ledger/open/{ledger.generation}").count() == 1  # what came after the closed days
+    ledger.absorb(log(spark, event(5, C, late, late)))
+    assert rows(ledger.read().select("period_day", "events").where("events > 0")) == [(datetime(2017, 1, 2).date(), 1), (datetime(2017, 1, 9).date(), 1)]
