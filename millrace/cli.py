@@ -78,9 +78,10 @@ def _attribute(spark: SparkSession, a: argparse.Namespace) -> int:
     nodes = last.select(F.posexplode("nodes").alias("position", "n")).select("position", "n.*")
     if "metadata" in nodes.columns:
         nodes = nodes.withColumn("metadata", F.from_json(F.to_json("metadata"), "map<string,string>"))
+    rules = attribution.starts(a.extractor, a.mapper, a.mapper_file) if a.extractor and a.mapper and a.mapper_file else ()
     paths = [r[0] for r in nodes.where("type = 'FILE'").select(attribution.node_path(F.col("node_id"), F.col("metadata"))).distinct().collect()]  # the files of one graph
     commits = history.last_changes(spark, a.root, paths) if a.root else spark.createDataFrame([], history.COMMIT)
-    found = attribution.attribute_violations(spark, violations, nodes, last.select(F.inline("edges")), documents.subscriptions(spark, a.registry), commits, F.current_timestamp())
+    found = attribution.attribute_violations(spark, violations, nodes, last.select(F.inline("edges")), documents.subscriptions(spark, a.registry), commits, F.current_timestamp(), rules)
     sinks.write_jsonl(found, a.output)
     return 0
 
@@ -138,7 +139,7 @@ def main(argv: list[str] | None = None) -> int:
         d.add_argument("--id", default="contract")
         d.add_argument("--since", type=float, help="days")
         d.add_argument("--pair", nargs=2)
-    command("attribute", "likely causes of violations and whom they touch", "violations", "lineage", "registry", "output", "root?", "violation?")
+    command("attribute", "likely causes of violations and whom they touch", "violations", "lineage", "registry", "output", "root?", "violation?", "extractor?", "mapper?", "mapper-file?")
     r = command("report", "a report of stored results and the violation log", "results", "log", "attributed?", "weights?", "migration?", "output")
     r.add_argument("--page", type=int, default=1)
     r.add_argument("--page-size", type=int, default=10)

@@ -12,9 +12,6 @@ from ..functions.paths import commit_time, node_path
 from ..functions.text import instant
 from . import lineage, matching
 
-# Where the walk of a check begins. The first rule whose check and node are there counts; after all of them, the first node.
-_EXTRACTOR, _MAPPER, _MAPPER_FILE = "pipeline::week3-document-refinery", "pipeline::week4-lineage-generation", "file::src/week4/cartographer.py"
-
 
 @dataclass(frozen=True)
 class Start:
@@ -28,17 +25,24 @@ class Start:
     of: str | None = None
 
 
-STARTS = (
-    Start("week3.extracted_facts.confidence.range", _EXTRACTOR, True, True), Start("week3.extracted_facts.entity_refs.relationship", _EXTRACTOR, True, True),
-    Start("week3.extracted_facts.non_empty", _EXTRACTOR, True, True), Start("week5.payload.jsonschema", _MAPPER, True, True), Start("week5.sequence_number.monotonic", _MAPPER, True, True),
-    Start("cross.week2.target_ref.in_week1_code_refs", _MAPPER, True, True), Start("cross.week4.doc_id.as_lineage_node", _EXTRACTOR, True, True),
-    Start("week3.", _EXTRACTOR), Start("week5.", _MAPPER), Start("cross.week4", _EXTRACTOR, whole=True), Start("week1.", "week1", of="FILE"), Start("week2.", _MAPPER_FILE), Start("cross.week2", _MAPPER_FILE),
-    Start("week4.", _MAPPER_FILE), Start("cross.week4", _MAPPER_FILE), Start("langsmith.", _EXTRACTOR), Start("cross.", _EXTRACTOR),
-    Start("", _MAPPER_FILE, kind="llm_output_schema"), Start("", _EXTRACTOR, kind="langsmith_trace_schema"),
-)
-
+def starts(extractor: str, mapper: str, mapper_file: str) -> tuple[Start, ...]:
+    """The rules of the known datasets, given the nodes of their graph: the pipelines that extract documents and that map lineage, and the file of the latter.
 
-def resolve_starts(violations: DataFrame, nodes: DataFrame, rules: Sequence[Start] = STARTS) -> DataFrame:
+    The first rule whose check and node are there counts; after all of them, the first node.
+    """
+    # Which node the walk of a check begins at.
+    exact = {
+        "week3.extracted_facts.confidence.range": extractor, "week3.extracted_facts.entity_refs.relationship": extractor, "week3.extracted_facts.non_empty": extractor, "week5.payload.jsonschema": mapper,
+        "week5.sequence_number.monotonic": mapper, "cross.week2.target_ref.in_week1_code_refs": mapper, "cross.week4.doc_id.as_lineage_node": extractor,
+    }
+    families = [
+        Start("week3.", extractor), Start("week5.", mapper), Start("cross.week4", extractor, whole=True), Start("week1.", "week1", of="FILE"), Start("week2.", mapper_file), Start("cross.week2", mapper_file), Start("week4.", mapper_file),
+        Start("cross.week4", mapper_file), Start("langsmith.", extractor), Start("cross.", extractor), Start("", mapper_file, kind="llm_output_schema"), Start("", extractor, kind="langsmith_trace_schema"),
+    ]
+    return (*(Start(c, n, exact=True, whole=True) for c, n in exact.items()), *families)
+
+
+def resolve_starts(violations: DataFrame, nodes: DataFrame, rules: Sequence[Start] = ()) -> DataFrame:
     """``violations`` (``violation_id, check_id, type, ...``) with ``start``, the node its walk begins at; null where there are no nodes.
 
     ``nodes`` has ``node_id, type, position``. The node of each rule is found in one pass over the nodes, the one at the first position.
@@ -48,7 +52,7 @@ def resolve_starts(violations: DataFrame, nodes: DataFrame, rules: Sequence[Star
         return named & (F.col("type") == r.of) if r.of else named
 
     first = lambda when: F.min(F.when(when, F.struct("position", "node_id")))["node_id"]
-    found = nodes.where("node_id is not null").agg(F.array(*(first(there(r)) for r in rules)).alias("of_rules"), first(F.lit(True)).alias("any"))
+    found = nodes.where("node_id is not null").agg(F.array(*(first(there(r)) for r in rules)).cast("array<string>").alias("of_rules"), first(F.lit(True)).alias("any"))
     check = F.coalesce("check_id", F.lit(""))
 
     def meant(i: int, r: Start) -> Column:
@@ -66,7 +70,7 @@ UNKNOWN_DAYS = 30
 
 def attribute_violations(
     spark: SparkSession, violations: DataFrame, nodes: DataFrame, edges: DataFrame, subscriptions: DataFrame, commits: DataFrame, now: Column,
-    rules: Sequence[Start] = STARTS, families: Sequence[str] = matching.FAMILIES, most: int = 5,
+    rules: Sequence[Start] = (), families: Sequence[str] = matching.FAMILIES, most: int = 5,
 ) -> DataFrame:
     """Each violation with ``start, blame_chain`` and ``blast_radius``.
 

@@ -42,6 +42,9 @@ def _flat_numbers(array: str, field: str) -> Column:
     return F.filter(F.transform(F.col(array), lambda e: e[field].cast("double")), lambda v: v.isNotNull())
 
 
+# The ids of the checks below, and what they compare with.
+
+
 def intents() -> list[Clause]:
     """Records that link an intent to code: ``intent_id, code_refs, governance_tags, created_at``."""
     i, missing = F.col("intent_id"), p.falsy_text(F.col("intent_id"))

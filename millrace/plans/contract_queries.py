@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import predicates as p
-from ..operators import ai_checks, attribution, checks, contract_diff, contracts, datasets, declared, json_schema, lineage, matching, migration, numeric_drift, quality, reporting, runner, sequences, vectors
+from ..operators import ai_checks, attribution, checks, contract_diff, contracts, datasets, declared, json_schema, lineage, matching, migration, numeric_drift, quality, reporting, runner, schema_drift, sequences, vectors
 from ..operators.checks import Clause
 from ..sources import json_lines, synthetic
 from ..sources.tables import table
@@ -446,6 +446,21 @@ def schema_diff_paths(spark: SparkSession, folder: str) -> DataFrame:
     return contract_diff.diff(rows).select("path", "change", "attribute", "breaking")
 
 
+def schema_diff_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Fields of each file of text records against those of the file before it in its feed, each file being a version of its feed's schema."""
+    fields = schema_drift.file_fields(spark, table(spark, folder, "raw_records")).where("size(path) > 0")
+    attributes = F.array(F.struct(F.lit("present").alias("attribute"), F.lit("true").alias("value")), F.struct(F.lit("type").alias("attribute"), F.array_join("kinds", ",").alias("value")))
+    rows = fields.select(F.col("feed").alias("contract_id"), F.col("file_name").alias("version"), F.array_join("path", ".").alias("path"), F.inline(attributes))
+    return contract_diff.diff(rows).select("contract_id", "version", "path", "change", "attribute", "old_value", "new_value", "breaking")
+
+
+def drawn_fields(spark: SparkSession, folder: str) -> DataFrame:
+    """The fields of a contract drawn from the orders, with the bounds they keep."""
+    drawn = contracts.draw_contract(table(spark, folder, "orders"), "orders").schema
+    rows = [(n, s["type"], bool(s.get("required")), s.get("minimum"), s.get("maximum")) for n, s in drawn.items()]
+    return spark.createDataFrame(rows, "field string, type string, required boolean, minimum double, maximum double")
+
+
 def inferred_kinds(spark: SparkSession, folder: str) -> DataFrame:
     """The kinds of each top-level key of all records of each dataset that came as text."""
     v = json_lines.parsed(table(spark, folder, "raw_records")).where("issue is null")

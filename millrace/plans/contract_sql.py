@@ -49,6 +49,7 @@ def _count(array: str, each: str, bad: str) -> str:
     return f"coalesce(len([1 FOR {each} IN {array} IF {bad}]), 0)"
 
 
+# The ids of the checks, and what they compare with.
 _VERDICTS = _results("verdicts", [
     ("week2.overall_verdict.enum", "enum", _in("overall_verdict", "'PASS','FAIL','WARN'"), "CRITICAL", "FAIL"),
     ("week2.scores.criterion.range", "range", _count("map_values(scores)", "s", "s.score IS NOT NULL AND NOT s.score BETWEEN 1 AND 5"), "CRITICAL", "FAIL"),

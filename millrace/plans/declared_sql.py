@@ -7,7 +7,7 @@ import re
 from ..operators.declared import CONTRACTS, MODELS
 from .contract_queries import _SUBSCRIPTIONS
 from .contract_sql import SQL as CONTRACT
-from .validation_sql import _RECORDS
+from .general_sql import SQL as GENERAL
 
 _TABLES = {"verdicts": "verdicts", "extractions": "extractions", "snapshots": "lineage_snapshots", "events": "event_log", "runs": "runs"}
 
@@ -110,7 +110,26 @@ SELECT check_id, field, severity, records_failing, row_number() OVER (ORDER BY r
 
 _SUBS = ", ".join(f"('{c}', '{s}', '{f}')" for c, s, f, _ in _SUBSCRIPTIONS)
 
+_ORDERS = {"o_orderkey": "integer", "o_custkey": "integer", "o_orderstatus": "string", "o_totalprice": "number", "o_orderdate": "string", "o_orderpriority": "string"}
+
+
+def _drawn(field: str, kind: str) -> str:
+    bounds = f"CAST(min({field}) AS DOUBLE) AS minimum, CAST(max({field}) AS DOUBLE) AS maximum" if kind in ("integer", "number") else "NULL::DOUBLE AS minimum, NULL::DOUBLE AS maximum"
+    return f"SELECT '{field}' AS field, '{kind}' AS type, count(*) = count({field}) AS required, {bounds} FROM orders"
+
+
 SQL = {
+    "drawn_fields": " UNION ALL ".join(_drawn(f, k) for f, k in _ORDERS.items()),
+    "schema_diff_files": f"""
+WITH f AS ({GENERAL["p7_fields"]}),
+v AS (SELECT feed, file_name, lag(file_name) OVER (PARTITION BY feed ORDER BY file_name) AS former FROM (SELECT DISTINCT feed, file_name FROM f) d),
+n AS (SELECT v.feed, v.file_name, field, kinds FROM v JOIN f ON f.feed = v.feed AND f.file_name = v.file_name WHERE former IS NOT NULL),
+o AS (SELECT v.feed, v.file_name, field, kinds FROM v JOIN f ON f.feed = v.feed AND f.file_name = v.former WHERE former IS NOT NULL),
+j AS (SELECT coalesce(n.feed, o.feed) AS feed, coalesce(n.file_name, o.file_name) AS file_name, coalesce(n.field, o.field) AS field, o.kinds AS a, n.kinds AS b FROM n FULL JOIN o ON n.feed = o.feed AND n.file_name = o.file_name AND n.field = o.field),
+whole AS (SELECT * FROM j WHERE a IS NULL OR b IS NULL)
+SELECT feed AS contract_id, file_name AS version, field AS path, CASE WHEN a IS NULL THEN 'added' ELSE 'removed' END AS change, NULL AS attribute, NULL AS old_value, NULL AS new_value, b IS NULL AS breaking
+FROM whole w WHERE NOT EXISTS (SELECT 1 FROM whole u WHERE u.feed = w.feed AND u.file_name = w.file_name AND starts_with(w.field, u.field || '.'))
+UNION ALL SELECT feed, file_name, field, 'changed', 'type', a, b, true FROM j WHERE a IS NOT NULL AND b IS NOT NULL AND a <> b""",
     "declared_contracts": " UNION ALL ".join(x for n, t in _TABLES.items() for x in _contract(n, t)),
     "declared_rules": " UNION ALL ".join(_rule(n, t, r) for n, t in _TABLES.items() for r in CONTRACTS[n].rules),
     "model_tests": _model_tests(),

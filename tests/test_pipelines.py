@@ -53,22 +53,22 @@ def test_text_helpers(spark):
 
 def test_attribution(spark):
     nodes = spark.createDataFrame(
-        [(i, f"file::src/f{i}.py", "FILE", {"path": f"src/f{i}.py"}) for i in range(8)] + [(8, "pipeline::week3-document-refinery", "PIPELINE", None), (9, "file::out.jsonl", "FILE", {}), (10, "m", "MODEL", None)],
+        [(i, f"file::src/f{i}.py", "FILE", {"path": f"src/f{i}.py"}) for i in range(8)] + [(8, "pipeline::extract", "PIPELINE", None), (9, "file::out.jsonl", "FILE", {}), (10, "m", "MODEL", None)],
         "position int, node_id string, type string, metadata map<string,string>",
     )
-    edges = spark.createDataFrame([(f"file::src/f{i}.py", "pipeline::week3-document-refinery") for i in range(8)] + [("pipeline::week3-document-refinery", "file::out.jsonl"), ("file::out.jsonl", "m"), ("m", "file::src/f0.py")], "source string, target string")
+    edges = spark.createDataFrame([(f"file::src/f{i}.py", "pipeline::extract") for i in range(8)] + [("pipeline::extract", "file::out.jsonl"), ("file::out.jsonl", "m"), ("m", "file::src/f0.py")], "source string, target string")
     v = spark.createDataFrame(
         [("a", "week3.extracted_facts.confidence.range", "check", "c", 55), ("b", "nothing.known", None, None, None), ("d", None, "langsmith_trace_schema", "c", 1)], "violation_id string, check_id string, type string, contract_id string, records_failing bigint"
     )
     subs = spark.createDataFrame([("c", "s", "extracted_facts", "r", "t", "WARN", "x")], SUBS)
     commits = spark.createDataFrame([("src/f0.py", "a" * 40, "dev", "2025-01-01 00:00:00 +0000", "m")], history.COMMIT)
-    found = {r.violation_id: r for r in attribution.attribute_violations(spark, v, nodes, edges, subs, commits, F.lit("2025-01-03 00:00:00").cast("timestamp")).collect()}
+    found = {r.violation_id: r for r in attribution.attribute_violations(spark, v, nodes, edges, subs, commits, F.lit("2025-01-03 00:00:00").cast("timestamp"), attribution.starts("pipeline::extract", "pipeline::map", "file::map.py")).collect()}
     a = found["a"]
-    assert a.start == "pipeline::week3-document-refinery" == found["d"].start and found["b"].start == "file::src/f0.py"
+    assert a.start == "pipeline::extract" == found["d"].start and found["b"].start == "file::src/f0.py"
     assert [(c.rank, c.file_path) for c in a.blame_chain] == [(i + 1, f"src/f{i}.py") for i in range(5)]
     assert a.blame_chain[0].confidence_score == 0.6 and a.blame_chain[1].author == "unknown" and a.blame_chain[1].confidence_score == 0.0
     assert [s.subscriber_id for s in a.blast_radius.subscribers] == ["s"] and found["b"].blast_radius.subscribers == []
-    assert a.blast_radius.affected_nodes == ["file::out.jsonl"] and a.blast_radius.affected_pipelines == ["m", "pipeline::week3-document-refinery"]
+    assert a.blast_radius.affected_nodes == ["file::out.jsonl"] and a.blast_radius.affected_pipelines == ["m", "pipeline::extract"]
     assert (a.blast_radius.estimated_records, a.blast_radius.contamination_depth) == (55, 3)
     empty = attribution.attribute_violations(spark, v, nodes.limit(0), edges.limit(0), subs.limit(0), commits, F.current_timestamp())
     assert {(r.violation_id, r.start, r.blame_chain) for r in empty.collect()} == {("a", None, None), ("b", None, None), ("d", None, None)}
