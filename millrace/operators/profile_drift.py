@@ -300,13 +300,14 @@ def _beside(h: DataFrame, following: DataFrame, by: list[str]) -> DataFrame:
 def _tests(work: Workspace, counts: DataFrame, following: DataFrame) -> DataFrame:
     """``load_id, c, test, effect, z`` for every load but the first.
 
-    The counts are read three times - for histograms, frequent values and their counts in the loads beside - and each result,
+    The counts are read four times - for histograms, numbers, frequent values and their counts in the loads beside - and each result,
     bounded for a column and load, is a table; so plans stay small, too.
     """
     h = work.write(_histograms(counts), "histograms")
     pairs = _beside(h, following, ["c", "what", "bin"])
     total = W.partitionBy("load_id", "c", "what")
     pairs = pairs.withColumn("na", F.sum("a").over(total)).withColumn("nb", F.sum("b").over(total)).where("na > 0 and nb > 0")
+    pairs = work.write(pairs, "pairs")
     pa, pb = F.col("a") / F.col("na"), F.col("b") / F.col("nb")
     p = (F.col("a") + F.col("b")) / (F.col("na") + F.col("nb"))
     spread = F.sqrt(p * (1 - p) * (1 / F.col("na") + 1 / F.col("nb")))
@@ -323,7 +324,7 @@ def _tests(work: Workspace, counts: DataFrame, following: DataFrame) -> DataFram
     distance = lambda a, b: F.abs(a / F.col("na") - b / F.col("nb")).alias("d")
     numbers = inside.join(below, ["load_id", "c", "bin"]).select("load_id", "c", F.lit("number").alias("what"), distance(F.col("fa") + F.col("wa"), F.col("fb") + F.col("wb")), "na", "nb")
     curve = curve.where("what = 'length'").select("load_id", "c", "what", distance(F.col("ua"), F.col("ub")), "na", "nb").unionByName(numbers)
-    curve = curve.groupBy("load_id", "c", "what").agg(F.max("d").alias("effect"), F.first("na").alias("na"), F.first("nb").alias("nb"))
+    curve = work.write(curve.groupBy("load_id", "c", "what").agg(F.max("d").alias("effect"), F.first("na").alias("na"), F.first("nb").alias("nb")), "curves")
     curve = curve.select("load_id", "c", F.col("what").alias("test"), "effect", (F.col("effect") * F.sqrt(F.col("na") * F.col("nb") / (F.col("na") + F.col("nb")))).alias("z"))
     # shares of single values: those that make up a thirtieth of a load, so at most thirty for a column and load; a difference of
     # shares that counts is larger than that, so no value without it in either load could make one (see Limits)
