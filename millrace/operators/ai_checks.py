@@ -83,7 +83,7 @@ def invalid_verdicts(verdicts: DataFrame, schema: dict = VERDICT_SCHEMA) -> Colu
 
 def verdict_check(verdicts: DataFrame, baseline_rate: float, settings: Settings = Settings(), schema: dict = VERDICT_SCHEMA) -> DataFrame:
     """``total_outputs, schema_violations, violation_rate, baseline_violation_rate, trend, status``: rising against the baseline is a warning."""
-    trend = numeric_drift.rate_trend(verdicts, invalid_verdicts(verdicts, schema), baseline_rate, settings.rate_multiplier, settings.rate_least)
+    trend = numeric_drift.counted_trend(verdicts, invalid_verdicts(verdicts, schema), baseline_rate, settings.rate_multiplier, settings.rate_least)
     return trend.select("n", "failures", F.round("rate", 6).alias("violation_rate"), F.lit(round(baseline_rate, 6)).alias("baseline_violation_rate"), "trend", "status").toDF(
         "total_outputs", "schema_violations", "violation_rate", "baseline_violation_rate", "trend", "status"
     )

@@ -115,9 +115,14 @@ def unit_interval_notes(profile: DataFrame, margin: float = MARGIN) -> DataFrame
     return profile.where(unit).withColumn("note", note).where("note is not null")
 
 
-def rate_trend(df: DataFrame, bad: Column, baseline: float, multiplier: float = 1.5, least: float = 0.001) -> DataFrame:
+def counted_trend(df: DataFrame, bad: Column, baseline: float, multiplier: float = 1.5, least: float = 0.001) -> DataFrame:
     """``n, failures, rate, trend, status``: rising and WARN if the rate is above ``multiplier`` times the baseline and above it by ``least``."""
     one = df.agg(F.count_if(bad).alias("failures"), F.count(F.lit(1)).alias("n"))
     rate = F.col("failures") / F.greatest("n", F.lit(1))
     up = (rate > baseline * multiplier) & (rate > baseline + least)
     return one.select("n", "failures", rate.alias("rate"), F.when(up, "rising").otherwise("stable").alias("trend"), F.when(up, "WARN").otherwise("PASS").alias("status"))
+
+
+def rate_trend(df: DataFrame, bad: Column, baseline: float) -> DataFrame:
+    """``failures, rate, trend, status``, as of :func:`counted_trend`."""
+    return counted_trend(df, bad, baseline).drop("n")

@@ -26,7 +26,7 @@ KEPT = {
     "p7_changes": lambda rows: all(r.cost >= 0 and (r.to_field is None) == (r.change_kind not in ("renamed", "moved")) for r in rows),
     "p7_found": lambda rows: len(set(rows)) == len(rows) and {r.change_kind for r in rows} <= {"added", "removed", "renamed", "type_changed"},
     "p7_table": lambda rows: len({(r.file_name, r.line_no) for r in rows}) == len(rows) > 0 and all(None not in r.fields.values() for r in rows),
-    "p7_events": lambda rows: len(rows) > 0 and all(isinstance(r.sequence_number, (int, type(None))) for r in rows),
+    "p7_events": lambda rows: len({(r.file_name, r.line_no) for r in rows}) == len(rows) > 0 and all("event_id" in r.asDict() for r in rows),
     "p7_reports": lambda rows: len(rows) > 0 and all(isinstance(r["diff.type_changes"], (str, type(None))) for r in rows),
     "text_drift": lambda rows: len(rows) == 1 and (rows[0].drift is None or 0 <= rows[0].drift <= 2),
 }
